@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
 from vellumflow.llm.op7_hilbert import op7_hilbert_sharding
+from vellumflow.llm.op9_golay import op9_golay_simhash
 
 QUERIES = {
     "op1_sainte_lague_mixing": op1_sainte_lague_mixing,
     "op7_hilbert_sharding": op7_hilbert_sharding,
+    "op9_golay_simhash": op9_golay_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
