@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from vellumflow.llm import op4_fm_index
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
+from vellumflow.llm.op4_fm_index import op4_fm_index_decontamination
 from vellumflow.llm.op7_hilbert import op7_hilbert_sharding
 from vellumflow.llm.op9_golay import op9_golay_simhash
 
 QUERIES = {
+    "op4_fm_index_decontamination": op4_fm_index_decontamination,
     "op1_sainte_lague_mixing": op1_sainte_lague_mixing,
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op9_golay_simhash": op9_golay_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_fm_index_decontamination": op4_fm_index.ORACLE,
+}
