@@ -46,11 +46,13 @@ def curve_index(cells: list[Column], bits: int) -> Column:
     digits, states = F.array(*digit), F.array(*following)
 
     def step(at: Column, level: Column) -> Column:
-        corner = sum((F.call_function("shiftright", c, level) % 2 * (1 << j) for j, c in enumerate(cells)), F.lit(0))
+        corner = sum((F.call_function("shiftright", at[f"c{j}"], level) % 2 * (1 << j) for j in range(dims)), F.lit(0))
         k = at["state"] * (1 << dims) + corner + 1
-        return F.struct(F.element_at(states, k).alias("state"), (at["index"] * (1 << dims) + F.element_at(digits, k)).alias("index"))
+        return F.struct(F.element_at(states, k).alias("state"), (at["index"] * (1 << dims) + F.element_at(digits, k)).alias("index"), *kept(at))
 
-    start = F.struct(F.lit(0).alias("state"), F.lit(0).cast("long").alias("index"))
+    # The cells ride in the accumulator, so that each is worked out once and not at every level.
+    kept = lambda at: (at[f"c{j}"].alias(f"c{j}") for j in range(dims))
+    start = F.struct(F.lit(0).alias("state"), F.lit(0).cast("long").alias("index"), *(c.cast("int").alias(f"c{j}") for j, c in enumerate(cells)))
     return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda at: at["index"])
 
 
@@ -62,15 +64,19 @@ def _ordinal(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`").cast("double")
 
 
+def _count_reached(bounds: list):
+    """How many bounds a value reaches; as a lambda, so that the value is worked out only once."""
+    return lambda value: sum(((value >= F.lit(b)).cast("int") for b in bounds), F.lit(0))
+
+
 def cells(df: DataFrame, dimensions: tuple[str, ...], bits: int) -> list[Column]:
     """Each dimension cut at its 2**bits quantiles over all rows; null falls in the first cell."""
     at = [i / (1 << bits) for i in range(1, 1 << bits)]
     row = df.agg(*(F.percentile_approx(_ordinal(df, d), at, 100_000).alias(f"q{i}") for i, d in enumerate(dimensions))).first()
     cut = []
     for i, d in enumerate(dimensions):
-        value, bounds = _ordinal(df, d), sorted(set(row[i] or []))
-        above = sum(((value >= F.lit(b)).cast("int") for b in bounds), F.lit(0))
-        cut.append(F.coalesce(above, F.lit(0)))
+        bounds = sorted(set(row[i] or []))
+        cut.append(F.coalesce(F.transform(F.array(_ordinal(df, d)), _count_reached(bounds))[0], F.lit(0)))
     return cut
 
 
