@@ -5,11 +5,15 @@ from __future__ import annotations
 from vellumflow.llm import op4_fm_index
 from vellumflow.llm.op10_epsilon_grid import op10_epsilon_grid_join
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
+from vellumflow.llm.op2_toxicity import op2_ngram_toxicity
 from vellumflow.llm.op4_fm_index import op4_fm_index_decontamination
 from vellumflow.llm.op7_hilbert import op7_hilbert_sharding
+from vellumflow.llm.op8_bradley_terry import op8_bradley_terry_quality
 from vellumflow.llm.op9_golay import op9_golay_simhash
 
 QUERIES = {
+    "op8_bradley_terry_quality": op8_bradley_terry_quality,
+    "op2_ngram_toxicity": op2_ngram_toxicity,
     "op10_epsilon_grid_join": op10_epsilon_grid_join,
     "op4_fm_index_decontamination": op4_fm_index_decontamination,
     "op1_sainte_lague_mixing": op1_sainte_lague_mixing,
