@@ -8,11 +8,13 @@ from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
 from vellumflow.llm.op2_toxicity import op2_ngram_toxicity
 from vellumflow.llm.op4_fm_index import op4_fm_index_decontamination
 from vellumflow.llm.op5_pii import op5_boosted_pii
+from vellumflow.llm.op6_huffman import op6_huffman_ids
 from vellumflow.llm.op7_hilbert import op7_hilbert_sharding
 from vellumflow.llm.op8_bradley_terry import op8_bradley_terry_quality
 from vellumflow.llm.op9_golay import op9_golay_simhash
 
 QUERIES = {
+    "op6_huffman_ids": op6_huffman_ids,
     "op5_boosted_pii": op5_boosted_pii,
     "op8_bradley_terry_quality": op8_bradley_terry_quality,
     "op2_ngram_toxicity": op2_ngram_toxicity,
