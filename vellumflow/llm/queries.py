@@ -6,6 +6,7 @@ from vellumflow.llm import op4_fm_index
 from vellumflow.llm.op10_epsilon_grid import op10_epsilon_grid_join
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
 from vellumflow.llm.op2_toxicity import op2_ngram_toxicity
+from vellumflow.llm.op3_deep_shallow import op3_deep_shallow_dedup
 from vellumflow.llm.op4_fm_index import op4_fm_index_decontamination
 from vellumflow.llm.op5_pii import op5_boosted_pii
 from vellumflow.llm.op6_huffman import op6_huffman_ids
@@ -14,6 +15,7 @@ from vellumflow.llm.op8_bradley_terry import op8_bradley_terry_quality
 from vellumflow.llm.op9_golay import op9_golay_simhash
 
 QUERIES = {
+    "op3_deep_shallow_dedup": op3_deep_shallow_dedup,
     "op6_huffman_ids": op6_huffman_ids,
     "op5_boosted_pii": op5_boosted_pii,
     "op8_bradley_terry_quality": op8_bradley_terry_quality,
