@@ -262,31 +262,33 @@ def op4_fm_index_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without the merged spans of benchmark windows. A document of
-    which no word is left goes; others keep their columns, n_chars counting what is left."""
+    which no word is left goes; n_chars of a cut text counts what is left; all else stays as it is."""
     blocks = phrase_blocks(table(spark, sf_dir, "benchmark"), WINDOW)
     at = docs.columns.index("text")
+    size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(batches):
         indexed = [Phrases(*b.value) for b in blocks]
         for batch in batches:
             for first, texts in _shards(batch, SHARD_BYTES):
                 part = batch.slice(first, len(texts))
-                rows = scan(texts, indexed)
-                if any(h.any() for _, h, _ in rows):
-                    nulls = part.column(at).is_null().to_pylist()
-                    left = [None if null else without_spans(x, h) if h.any() else x for null, x, (_, h, _) in zip(nulls, texts, rows)]
-                    keep = pa.array([not (h.any() and h.all()) for _, h, _ in rows])
+                hits = [h for _, h, _ in scan(texts, indexed)]
+                touched = [i for i, h in enumerate(hits) if h.any()]
+                if touched:
                     columns = list(part.columns)
-                    columns[at] = pa.array(left, pa.binary()).cast(part.column(at).type)
-                    part = pa.RecordBatch.from_arrays(columns, part.schema.names).filter(keep)
+                    left = columns[at].to_pylist()
+                    counts = columns[size].to_pylist() if size is not None else []
+                    for i in touched:
+                        left[i] = without_spans(texts[i], hits[i]).decode()
+                        if counts:
+                            counts[i] = len(left[i])
+                    columns[at] = pa.array(left, columns[at].type)
+                    if counts:
+                        columns[size] = pa.array(counts, columns[size].type)
+                    part = pa.RecordBatch.from_arrays(columns, part.schema.names).filter(pa.array([not len(h) or not h.all() for h in hits]))
                 yield part
 
-    out = docs.mapInArrow(cut, docs.schema)
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        # Only a changed text gets a new count: unchanged rows keep what the column says.
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return out
+    return docs.mapInArrow(cut, docs.schema)
 
 
 ORACLE = r"""

@@ -54,16 +54,25 @@ def shingle_hashes(text: bytes, width: int):
         yield np.array([xxh64_intdigest(b" ".join(carry), 42)], np.uint64)
 
 
-def simhash(text: bytes, width: int) -> int:
-    """Bit i is set if it is set in over half of the shingle hashes; no words give 0."""
-    counts, n = np.zeros(64, np.int64), 0
+def simhashes(text: bytes, width: int, many: int = 1) -> list[int]:
+    """Bit i is set if it is set in over half of the shingle hashes; no words give 0. Further
+    fingerprints take the hashes scrambled in other ways."""
+    counts, n = np.zeros((many, 64), np.int64), 0
     for hashes in shingle_hashes(text, width):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        # Eight byte-wide counters to a word: sums of up to 255 rows do not overflow.
-        sums = np.add.reduceat(bits.view(np.uint64), np.arange(0, len(bits), 255), axis=0)
-        counts += sums.view(np.uint8).sum(axis=0, dtype=np.int64)
         n += len(hashes)
-    return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
+        for k in range(many):
+            if k:
+                hashes = (hashes ^ hashes >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+                hashes = hashes ^ hashes >> np.uint64(29)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            # Eight byte-wide counters to a word: sums of up to 255 rows do not overflow.
+            sums = np.add.reduceat(bits.view(np.uint64), np.arange(0, len(bits), 255), axis=0)
+            counts[k] += sums.view(np.uint8).sum(axis=0, dtype=np.int64)
+    return [int(np.packbits(2 * c > n, bitorder="little").view(np.int64)[0]) for c in counts]
+
+
+def simhash(text: bytes, width: int) -> int:
+    return simhashes(text, width)[0]
 
 
 @cache
@@ -104,10 +113,10 @@ def keys_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys).astype(np.int32)
 
 
-def _bucket_links(keys: np.ndarray, prints: np.ndarray):
+def _bucket_links(keys: np.ndarray, prints: np.ndarray, distance: int = DISTANCE):
     """Links within runs of equal keys: all of them in runs of up to SMALL prints, a spanning forest
     of the links in longer runs, whose blocks are compared one after the other."""
-    close = lambda a, b: np.bitwise_count((a ^ b).view(np.uint64)) <= DISTANCE
+    close = lambda a, b: np.bitwise_count((a ^ b).view(np.uint64)) <= distance
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
     small = np.repeat(sizes <= SMALL, sizes)
@@ -128,18 +137,20 @@ def _bucket_links(keys: np.ndarray, prints: np.ndarray):
                 yield run[left[joined]], run[right[joined]]
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct `fp` at distance DISTANCE or less: enough of them that every two
-    such fingerprints are connected. Each key's fingerprints meet in one task, a run of equal keys
-    after the other; in large runs only links that join two parts are given out."""
+def links(prints: DataFrame, keyed_by: tuple[str, ...] = ("fp",), distance: int = DISTANCE) -> DataFrame:
+    """Links (a, b) between distinct `fp` at the distance or less that share a key of a `keyed_by`
+    column: for keys of `fp` itself and DISTANCE, enough of them that every two such fingerprints are
+    connected. Each key's fingerprints meet in one task, a run of equal keys after the other; in large
+    runs only links that join two parts are given out."""
 
     def spread(batches):
         for batch in batches:
             fp = batch.column("fp").to_numpy()
-            for at in range(0, len(fp), 4096):
-                part = fp[at : at + 4096]
-                rows, keys = keys_of(part)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["key", "fp"])
+            for k, column in enumerate(keyed_by):
+                by = batch.column(column).to_numpy()
+                for at in range(0, len(fp), 4096):
+                    rows, keys = keys_of(by[at : at + 4096])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys + np.int32(k * 3 << 24)), pa.array(fp[at : at + 4096][rows])], ["key", "fp"])
 
     def join(batches):
         keys, prints = np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -150,7 +161,7 @@ def links(prints: DataFrame) -> DataFrame:
                 if len(keys) < 100_000:
                     continue
             whole = len(keys) if batch is None else int(np.searchsorted(keys, keys[-1]))
-            for a, b in _bucket_links(keys[:whole], prints[:whole]) if whole else ():
+            for a, b in _bucket_links(keys[:whole], prints[:whole], distance) if whole else ():
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
             keys, prints = keys[whole:], prints[whole:]
@@ -192,6 +203,95 @@ def near_duplicates(docs: DataFrame, width: int = 4, key: str = "doc_id", text:
     return found.join(named.join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+WIDTH = 5
+SIMILARITY = 0.8
+KEYED = 4
+CANDIDATE = 16  # differing bits of an independent fingerprint at which a pair is worth comparing
+
+
+def _described(docs: DataFrame) -> DataFrame:
+    """docs with __node, a hash of the folded words, and __f0 ..., KEYED + 1 fingerprints."""
+    from pyspark.sql.types import LongType, StructField, StructType
+    from xxhash import xxh3_64_intdigest
+
+    names = ["__node", *(f"__f{k}" for k in range(KEYED + 1))]
+
+    def fold(batches):
+        for batch in batches:
+            texts = document_bytes(batch.column("text"))
+            nodes = np.array([xxh3_64_intdigest(b" ".join(x.lower().split())) for x in texts], np.uint64).view(np.int64)
+            found = np.array([simhashes(x, WIDTH, KEYED + 1) for x in texts], np.int64).reshape(-1, KEYED + 1)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes), *(pa.array(c) for c in np.ascontiguousarray(found.T))], ["doc_id", *names])
+
+    return docs.select("doc_id", "text").mapInArrow(fold, StructType([docs.schema["doc_id"], *(StructField(n, LongType()) for n in names)]))
+
+
+def _with_node(docs: DataFrame, sets: bool) -> DataFrame:
+    """docs with __node, or (__node, shingles) with the sorted distinct shingle hashes of each text."""
+    from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+    from xxhash import xxh3_64_intdigest
+
+    def fold(batches):
+        for batch in batches:
+            texts = document_bytes(batch.column("text"))
+            nodes = pa.array(np.array([xxh3_64_intdigest(b" ".join(x.lower().split())) for x in texts], np.uint64).view(np.int64))
+            if not sets:
+                yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "__node"])
+                continue
+            found = [np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(x, WIDTH)])).tobytes() for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("__node"), pa.array(found, pa.binary())], ["__node", "shingles"])
+
+    fields = docs.schema.fields
+    if sets:
+        return docs.select("__node", "text").mapInArrow(fold, "__node long, shingles binary")
+    return docs.mapInArrow(fold, StructType([*fields, StructField("__node", LongType())]))
+
+
+def _similar(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b, x, y) whose shingle sets x, y have a Jaccard similarity of SIMILARITY or more."""
+
+    def test(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= SIMILARITY * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: one document of each group of near copies stays, that with the least doc_id.
+
+    Near copies share SIMILARITY or more of their five-word shingles. Texts of equal words are one node.
+    Candidates share a Golay key of one of KEYED fingerprints and are near in a further one; each is
+    compared shingle by shingle before it counts as a link. Null and wordless texts are copies of each
+    other; a null doc_id is the last choice; no documents give none."""
+    described = written(_described(docs), "described")
+    nodes = described.groupBy("__node").agg(F.min("doc_id").alias("least"), *(F.max(f"__f{k}").alias(f"f{k}") for k in range(KEYED + 1)))
+    nodes = written(nodes.withColumnRenamed(f"f{KEYED}", "fp"), "nodes")
+    # Nodes with equal last fingerprints: each is paired with the least of them, which stands for all.
+    heads = nodes.groupBy("fp").agg(F.min("__node").alias("head"), *(F.max(F.struct("__node", f"f{k}"))[f"f{k}"].alias(f"f{k}") for k in range(KEYED)))
+    alike = nodes.select("fp", F.col("__node").alias("b")).join(heads.select("fp", F.col("head").alias("a")), "fp").where("a <> b").select("a", "b")
+    close = written(links(heads, tuple(f"f{k}" for k in range(KEYED)), CANDIDATE).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "close")
+    named = heads.select("fp", "head")
+    close = close.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = written(close.union(alike), "pairs")
+    whole = _with_node(docs, False)
+    asked = pairs.select(F.col("a").alias("__node")).union(pairs.select(F.col("b").alias("__node"))).distinct().join(nodes.select("__node", F.col("least").alias("doc_id")), "__node")
+    one = whole.select("__node", "doc_id", "text").join(asked.select("__node", F.col("doc_id").alias("__least")), "__node").where("doc_id <=> __least")
+    sets = written(_with_node(one, True).dropDuplicates(["__node"]), "sets")
+    met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    labels = components(_similar(met)).withColumnRenamed("node", "__node")
+    grouped = nodes.select("__node", "least").join(labels, "__node", "left").withColumn("component", F.coalesce("component", "__node"))
+    first = F.struct(F.col("least").isNull().alias("n"), "least", "__node")
+    kept = grouped.groupBy("component").agg(F.min(first).alias("k")).select(F.col("k.__node").alias("__kept"), F.col("k.least").alias("__least"))
+    chosen = whole.join(kept, (F.col("__node") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__least")))
+    return chosen.dropDuplicates(["__kept", "__least"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op9_golay_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, by shingles of four words."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
