@@ -93,7 +93,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
 
 
 def with_scores(docs: DataFrame, score, name: str) -> DataFrame:
-    """docs with a double column `name` from score(list of text bytes) -> array."""
+    """docs with a double column `name`, in place of any such, from score(list of text bytes) -> array."""
+    docs = docs.drop(name)
     at = docs.columns.index("text")
 
     def answer(batches):

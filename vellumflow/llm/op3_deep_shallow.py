@@ -339,6 +339,8 @@ def deep_shallow(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     where = np.arange(n)  # places of the order that are still in groups
     group = np.zeros(n, np.int64)
     for depth in range(min(SHALLOW, words.shape[1])):
+        if not len(where):
+            break
         key = words[order[where], depth]
         by = np.lexsort((key, group))
         order[where], key = order[where][by], key[by]
