@@ -173,39 +173,57 @@ def occurrences(symbols: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _shards(batch, limit: int):
-    """Runs of documents of about `limit` bytes: (first row, texts)."""
-    texts = document_bytes(batch.column("text"))
-    first, size = 0, 0
+def _shards(texts: list[bytes], limit: int):
+    """Runs of texts of about `limit` bytes."""
+    first = size = 0
     for i, x in enumerate(texts):
         size += len(x)
         if size >= limit or i == len(texts) - 1:
-            yield first, texts[first : i + 1]
+            yield texts[first : i + 1]
             first, size = i + 1, 0
 
 
-def scan(texts: list[bytes], blocks: list[Phrases]) -> list[tuple[int, np.ndarray, set[str]]]:
-    """For each text: its words, which of them are hit, and the items with occurring windows."""
-    out: list[tuple[int, np.ndarray, set[str]]] = []
-    for phrases in blocks:
-        parts = [word_symbols(x, phrases.vocabulary) for x in texts]
-        starts = np.cumsum([0, *(len(p) + 1 for p in parts)])
-        symbols = np.zeros(starts[-1], np.int64)
-        for a, p in zip(starts, parts):
-            symbols[a : a + len(p)] = p
-        window, place = occurrences(symbols, phrases)
-        change = np.zeros(len(symbols) + 1, np.int64)
-        np.add.at(change, place, 1)
-        np.add.at(change, place + phrases.lengths[window], -1)
-        hit = change.cumsum() > 0
-        out = out or [(len(p), np.zeros(len(p), bool), set()) for p in parts]
-        for i, p in enumerate(parts):
-            out[i][1][:] |= hit[starts[i] : starts[i] + len(p)]
-        document = np.searchsorted(starts, place, "right") - 1
-        pairs = np.unique(document * (len(phrases.lengths) + 1) + window)
-        for d, w in zip(*(x.tolist() for x in np.divmod(pairs, len(phrases.lengths) + 1))):
-            out[d][2].update(phrases.items[i] for i in phrases.owners[w])
-    return out or [(len(word_symbols(x, {})), np.zeros(0, bool), set()) for x in texts]
+def scan(texts: list[bytes], phrases: Phrases) -> list[tuple[int, np.ndarray, set[str]]]:
+    """For each text of a shard: its words, which of them are hit, and the items with occurring windows."""
+    parts = [word_symbols(x, phrases.vocabulary) for x in texts]
+    starts = np.cumsum([0, *(len(p) + 1 for p in parts)])
+    symbols = np.zeros(starts[-1], np.int64)
+    for a, p in zip(starts, parts):
+        symbols[a : a + len(p)] = p
+    window, place = occurrences(symbols, phrases)
+    change = np.zeros(len(symbols) + 1, np.int64)
+    np.add.at(change, place, 1)
+    np.add.at(change, place + phrases.lengths[window], -1)
+    hit = change.cumsum() > 0
+    out: list[tuple[int, np.ndarray, set[str]]] = [(len(p), hit[a : a + len(p)], set()) for a, p in zip(starts, parts)]
+    document = np.searchsorted(starts, place, "right") - 1
+    pairs = np.unique(document * (len(phrases.lengths) + 1) + window)
+    for d, w in zip(*(x.tolist() for x in np.divmod(pairs, len(phrases.lengths) + 1))):
+        out[d][2].update(phrases.items[i] for i in phrases.owners[w])
+    return out
+
+
+class Scanner:
+    """Scans batches against all blocks of a benchmark, of which one is held at a time."""
+
+    def __init__(self, blocks: list) -> None:
+        self.blocks = blocks
+        self.only = Phrases(*blocks[0].value) if len(blocks) == 1 else None if blocks else Phrases([], 1)
+
+    def _phrases(self):
+        if self.only is not None:
+            yield self.only
+            return
+        for block in self.blocks:
+            yield Phrases(*block.value)
+            vars(block).pop("_value", None)
+
+    def __call__(self, texts: list[bytes]) -> list[tuple[int, np.ndarray, set[str]]]:
+        total: list[tuple[int, np.ndarray, set[str]]] = []
+        for phrases in self._phrases():
+            found = [row for shard in _shards(texts, SHARD_BYTES) for row in scan(shard, phrases)]
+            total = [(n, h | g, s | t) for (n, h, s), (_, g, t) in zip(total, found)] if total else found
+        return total
 
 
 def phrase_blocks(benchmark: DataFrame, width: int, limit: int = PHRASE_BYTES) -> list:
@@ -231,13 +249,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     blocks = phrase_blocks(benchmark, width)
 
     def answer(batches):
-        indexed = [Phrases(*b.value) for b in blocks]
+        scanner = Scanner(blocks)
         for batch in batches:
-            for first, texts in _shards(batch, SHARD_BYTES):
-                ids = batch.column("doc_id").slice(first, len(texts))
-                rows = scan(texts, indexed)
-                spans = [np.flatnonzero(np.diff(np.concatenate([[0], h.view(np.int8), [0]]))).reshape(-1, 2).tolist() if h.any() else [] for _, h, _ in rows]
-                yield pa.RecordBatch.from_arrays([ids, pa.array([n for n, _, _ in rows], pa.int64()), pa.array([int(h.sum()) for _, h, _ in rows], pa.int64()), pa.array([sorted(s) for _, _, s in rows], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["doc_id", "n_words", "n_hit", "items", "spans"])
+            rows = scanner(document_bytes(batch.column("text")))
+            spans = [np.flatnonzero(np.diff(np.concatenate([[0], h.view(np.int8), [0]]))).reshape(-1, 2).tolist() if h.any() else [] for _, h, _ in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([n for n, _, _ in rows], pa.int64()), pa.array([int(h.sum()) for _, h, _ in rows], pa.int64()), pa.array([sorted(s) for _, _, s in rows], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["doc_id", "n_words", "n_hit", "items", "spans"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(answer, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_hit long, items array<string>, spans array<array<long>>")
 
@@ -268,25 +284,24 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(batches):
-        indexed = [Phrases(*b.value) for b in blocks]
+        scanner = Scanner(blocks)
         for batch in batches:
-            for first, texts in _shards(batch, SHARD_BYTES):
-                part = batch.slice(first, len(texts))
-                hits = [h for _, h, _ in scan(texts, indexed)]
-                touched = [i for i, h in enumerate(hits) if h.any()]
-                if touched:
-                    columns = list(part.columns)
-                    left = columns[at].to_pylist()
-                    counts = columns[size].to_pylist() if size is not None else []
-                    for i in touched:
-                        left[i] = without_spans(texts[i], hits[i]).decode()
-                        if counts:
-                            counts[i] = len(left[i])
-                    columns[at] = pa.array(left, columns[at].type)
+            texts = document_bytes(batch.column(at))
+            hits = [h for _, h, _ in scanner(texts)]
+            touched = [i for i, h in enumerate(hits) if h.any()]
+            if touched:
+                columns = list(batch.columns)
+                left = columns[at].to_pylist()
+                counts = columns[size].to_pylist() if size is not None else []
+                for i in touched:
+                    left[i] = without_spans(texts[i], hits[i]).decode()
                     if counts:
-                        columns[size] = pa.array(counts, columns[size].type)
-                    part = pa.RecordBatch.from_arrays(columns, part.schema.names).filter(pa.array([not len(h) or not h.all() for h in hits]))
-                yield part
+                        counts[i] = len(left[i])
+                columns[at] = pa.array(left, columns[at].type)
+                if counts:
+                    columns[size] = pa.array(counts, columns[size].type)
+                batch = pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array([not len(h) or not h.all() for h in hits]))
+            yield batch
 
     return docs.mapInArrow(cut, docs.schema)
 

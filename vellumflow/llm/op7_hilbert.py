@@ -14,6 +14,7 @@ from vellumflow.llm.common import table
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 5
 ROWS_PER_BUCKET = 65_536
+BROADCAST_ROWS = 1_000_000
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -97,11 +98,12 @@ def hilbert_shards(df: DataFrame, n_shards: int, dimensions: tuple[str, ...] = D
     buckets = F.broadcast(on_curve.groupBy("__cell").agg(F.ceil(F.count("*") / ROWS_PER_BUCKET).alias("__n")))
     dealt = on_curve.join(buckets, "__cell").withColumn("__part", F.pmod(F.xxhash64(F.col(f"`{tie}`")), "__n"))
     counts = dealt.groupBy("__cell", "__part").agg(F.count("*").alias("__rows"))
-    # 2**15 rows and one for each ROWS_PER_BUCKET rows of the input.
     before = counts.select("__cell", "__part", (F.sum("__rows").over(Window.orderBy("__cell", "__part")) - F.col("__rows")).alias("__before"))
     place = F.row_number().over(Window.partitionBy("__cell", "__part", "__before").orderBy(F.col(f"`{tie}`"))) - 1 + F.col("__before")
+    # One row per cell and per ROWS_PER_BUCKET rows of the input: sent to all while that is little.
+    small = (1 << bits * len(dimensions)) + total // ROWS_PER_BUCKET <= BROADCAST_ROWS
     total = max(total, 1)
-    placed = dealt.join(F.broadcast(before), ["__cell", "__part"]).withColumn("__place", place.cast("long"))
+    placed = dealt.join(F.broadcast(before) if small else before, ["__cell", "__part"]).withColumn("__place", place.cast("long"))
     shard = F.expr(f"__place * {n_shards}L div {total}L").cast("int")
     first = F.expr(f"(__shard * {total}L + {n_shards - 1}L) div {n_shards}L")
     out = placed.withColumn("__shard", shard).withColumn("slot", F.col("__place") - first).withColumn("shard", F.col("__shard"))
