@@ -25,6 +25,7 @@ SAMPLE_VALUES = 1 << 18  # bound on the sample that the directions are fitted to
 INTERVAL = 8192
 LEAF = 256
 SLACK = 1e-9
+BROADCAST_ROWS = 1_000_000
 
 
 def usable(vector: Column) -> Column:
@@ -100,7 +101,7 @@ def join(a: Interval, b: Interval | None, n_a: np.ndarray, n_b: np.ndarray | Non
     other, n_other = (a, n_a) if same else (b, n_b)
     shift = 0 if same else len(a.raw)
     counts_a, counts_b = np.zeros(len(a.raw)), np.zeros(len(other.raw))
-    labels = np.arange(len(a.raw) + shift + (0 if same else len(other.raw)))
+    labels = np.arange(len(a.raw) + (0 if same else len(other.raw)))
     lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i, j in leaf_pairs(a, other, 2 - 2 * least + SLACK, same):
         if same and i > j:
@@ -171,7 +172,8 @@ def _join_length(classes: DataFrame, width: int, least: float) -> DataFrame:
         none = pa.nulls(int(some.sum()), pa.int64())
         return pa.table({"a": pa.concat_arrays([pa.array(ids[some]), pa.array(ids[left])]), "b": pa.concat_arrays([none, pa.array(ids[right])]), "links": pa.concat_arrays([pa.array(sums[some]), pa.nulls(len(left), pa.int64())])})
 
-    met = placed.select("run", "cid", "n", "v", "cells").join(F.broadcast(partners), "run")
+    # A row per pair of intervals that may meet: sent to all while that is little.
+    met = placed.select("run", "cid", "n", "v", "cells").join(F.broadcast(partners) if len(meets) <= BROADCAST_ROWS else partners, "run")
     return met.groupBy("pair").applyInArrow(meet, "a long, b long, links long")
 
 
