@@ -82,11 +82,6 @@ def plan(sources: list[tuple], weights: list[float], block: int, n_shards: int,
     return out
 
 
-def _chosen_before(block: Column) -> Column:
-    """How many of a source's blocks before this one are among the extra ones."""
-    return F.expr("CASE WHEN __m.blocks > 0 THEN ({0} * __m.extra + __m.phase) div __m.blocks ELSE 0L END".format(block))
-
-
 def _words_before(at: str, block: int) -> Column:
     """Extra words taken from the first `at` words of a source."""
     upto = lambda b: f"(({b}) * __m.extra + __m.phase) div __m.blocks"

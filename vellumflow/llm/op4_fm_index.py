@@ -7,7 +7,6 @@ their occurrences located by walking to sampled suffix positions, and the spans
 
 from __future__ import annotations
 
-import hashlib
 import re
 from itertools import repeat
 
