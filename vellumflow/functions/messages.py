@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from vellumflow.functions.text import trim_space
 from vellumflow.schema import LLM_RESPONSE
 
-# The model's parameters and the texts between prompt and page.
+# The model's parameters, the texts between prompt and page, the prompt where none is set.
 TEMPERATURE, TOP_K, TOP_P, MAX_TOKENS = 0.1, 40, 0.95, 8192
 MARKER = "\n\nOCR TEXT FOLLOWS:\n\n"
 NO_TEXT = "[This page contains little or no OCR text. Describe relevant content from the image in clear narration.]"
-DEFAULT_PROMPT = "Rewrite the page as clear narration."
+DEFAULT_PROMPT = "You are a PhD-level technical narrator. Integrate commentary derived from the page image into the OCR text, producing a coherent narration for text-to-speech. Maintain technical accuracy, describe figures/code/tables as natural prose inserted near the relevant context, avoid markdown, and output continuous paragraphs."
 
 
 def encode_payload(content: Column) -> Column:
