@@ -5,7 +5,7 @@ import pytest
 from vellumflow import providers
 from vellumflow.config import BlankDetection, Config, Settings
 from vellumflow.operators import audio
-from vellumflow.plans import stages
+from vellumflow.plans import runs, stages
 from vellumflow.streaming.resume import process_new
 
 
@@ -90,6 +90,22 @@ def test_stages(spark):
     assert stages.encode(bad, providers.fake_encode).count() == 0
 
 
+def test_run(spark, tmp_path):
+    books = spark.createDataFrame([("b", "/b.pdf"), ("c", "/c.pdf")], "book string, pdf_path string")
+    made = {
+        "count": lambda row: 3, "draw": providers.fake_render, "ink": providers.fake_ink_ratio, "ocr": providers.Ocr(providers.fake_recognise),
+        "ask": providers.Retry(providers.fake_model, pause_s=0.0), "speech": providers.fake_speech, "encode": providers.fake_encode,
+    }
+    run = runs.Run(spark, str(tmp_path / "out"), runs.logger(tmp_path / "log/run.log"))
+    assert runs.books_to_audio(run, books, Config(), made, "P").where("error IS NULL").count() == 2
+    assert [(r["stage"], r["rows"], r["errors"]) for r in run.report().collect()][:4] == [("png", 6, 0), ("text", 6, 0), ("final_text", 6, 0), ("final_complete", 2, 0)]
+    assert "[INFO] mp3: 2 rows, 0 errors" in (tmp_path / "log/run.log").read_text()
+    pages = spark.createDataFrame([("b", "a.txt", "x"), ("b", "b.txt", "y")], "book string, file_name string, text string")
+    assert runs.merged(run, pages).first()["text"] == "x\n\ny\n\n"
+    with pytest.raises(ValueError, match="no documents"):
+        runs.books_to_audio(run, books.limit(0), Config(), made)
+
+
 def test_audio(spark, tmp_path):
     wav = audio.wav(struct.pack("<4h", 0, 100, -100, 32767), 24_000, 16)
     rate, bits, channels, pcm = audio.read_wav(audio.resample_one(wav))

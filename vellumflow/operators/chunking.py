@@ -49,3 +49,8 @@ def chunks(narrations: DataFrame, target: int = TARGET) -> DataFrame:
     """(book, chunk_no from 1, chunk, content_hash) of book narrations."""
     rows = narrations.select("book", F.posexplode(chunk_text(F.col("text"), target)).alias("at", "chunk"))
     return rows.select("book", (F.col("at") + 1).alias("chunk_no"), "chunk", F.sha2(F.col("chunk").cast("binary"), 256).alias("content_hash"))
+
+
+def chunk_counts(narrations: DataFrame, target: int = TARGET) -> DataFrame:
+    """(book, n_chunks) as planned, whether or not they are spoken; a book without lines has 0."""
+    return narrations.select("book", F.size(chunk_text(F.col("text"), target)).cast("long").alias("n_chunks"))

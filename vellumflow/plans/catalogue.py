@@ -112,6 +112,10 @@ def chunk_text(spark, sf_dir):
     return chunking.chunks(rows)
 
 
+def chunk_counts(spark, sf_dir):
+    return chunking.chunk_counts(_pages(spark, sf_dir).select(F.col("doc_id").alias("book"), "text"))
+
+
 def narration_chunks(spark, sf_dir):
     """Pages cleaned, put in order, joined to narrations and packed: the flow from pages to speech."""
     cleaned = _pages(spark, sf_dir).withColumn("text", text.clean_or_raw(F.col("text")))
@@ -286,7 +290,7 @@ def _sql_text(expression: str) -> str:
     return f"WITH {_P} SELECT doc_id, {expression} AS text FROM p"
 
 
-def _sql_chunks(rows: str) -> str:
+def _sql_chunks(rows: str, result: str = "SELECT book, chunk_no, chunk, sha256(chunk) AS content_hash FROM g") -> str:
     """Chunks of rows(book, text) as a CTE named n."""
     return f"""WITH RECURSIVE {rows}, l AS (
   SELECT book, row_number() OVER (PARTITION BY book ORDER BY i) AS i, line, strlen(line) AS size
@@ -297,7 +301,7 @@ def _sql_chunks(rows: str) -> str:
   SELECT l.book, l.i, l.line, c.chunk_no + (c.size + l.size + 1 > 200)::INT, CASE WHEN c.size + l.size + 1 > 200 THEN l.size ELSE c.size + l.size + 1 END
   FROM c JOIN l ON l.book = c.book AND l.i = c.i + 1
 ), g AS (SELECT book, CAST(chunk_no AS INT) AS chunk_no, string_agg(line, ' ' ORDER BY i) AS chunk FROM c GROUP BY book, chunk_no)
-SELECT book, chunk_no, chunk, sha256(chunk) AS content_hash FROM g"""
+{result}"""
 
 
 _ORDER = "row_number() OVER (PARTITION BY book ORDER BY (n IS NULL), n, lower(base), base)"
@@ -322,6 +326,7 @@ ORACLE_SQL = {
     "concat_terminated": f"WITH {_P} SELECT book, sha256(t) AS text_sha256, strlen(t) AS n_bytes FROM (SELECT book, string_agg(text || chr(10) || chr(10), '' ORDER BY base || '.txt', text) AS t FROM p GROUP BY book)",
     "concat_separated": f"WITH {_P} SELECT book, sha256(t) AS text_sha256, strlen(t) AS n_bytes FROM (SELECT book, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY base, text) FILTER (text <> '' AND doc_id % 7 <> 0), '') AS t FROM p GROUP BY book)",
     "chunk_text": _sql_chunks(f"{_P}, n AS (SELECT doc_id AS book, text FROM p)"),
+    "chunk_counts": _sql_chunks(f"{_P}, n AS (SELECT doc_id AS book, text FROM p)", "SELECT n.book, count(g.chunk_no) AS n_chunks FROM n LEFT JOIN g ON n.book = g.book GROUP BY n.book"),
     "narration_chunks": _sql_chunks(f"{_P}, cl AS (SELECT *, {_sql_clean('text')} AS cleaned FROM p), n AS (SELECT book, string_agg(t, chr(10) || chr(10) ORDER BY doc_id) AS text FROM (SELECT book, doc_id, CASE WHEN cleaned = '' THEN text ELSE cleaned END AS t FROM cl) WHERE t <> '' GROUP BY book)"),
     "mime_type": "SELECT page_id, CASE page_id % 6 WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/jpeg' WHEN 3 THEN 'image/webp' ELSE 'image/png' END AS mime FROM pages",
     "encode_payload": "SELECT page_id, base64(encode(html)) AS data FROM pages",
@@ -347,7 +352,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         discover_by_suffix, count_by_suffix, page_sequence, page_pairs, pairs_last_wins, books_with_images, pending_work, document_order, limit_pages,
-        concat_terminated, concat_separated, chunk_text, narration_chunks, mime_type, encode_payload, build_prompt, build_request, parse_response,
+        concat_terminated, concat_separated, chunk_text, chunk_counts, narration_chunks, mime_type, encode_payload, build_prompt, build_request, parse_response,
         blank_filter, error_rollup, whole_groups, page_numbers, page_counts, fake_ocr, retry_fallback, resample_pcm, concat_audio, encode_books, resume_stream, listed_files,
     )
 }
