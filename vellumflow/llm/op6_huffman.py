@@ -88,6 +88,19 @@ class Encoder:
         return np.frombuffer(self._plain(text) if pieces is None else b"".join(map(self.store.__getitem__, pieces)), self.kind)
 
 
+def encoder_of(definition: str) -> Encoder:
+    """The worker's encoder for a definition. It hangs on the library's module, which outlives a task, so
+    that a worker loads the vocabulary and meets a piece once and not again with every task."""
+    import tokenizers
+
+    held = vars(tokenizers).setdefault("_vellumflow_encoders", {})
+    key = crc32(definition.encode()), len(definition)
+    if key not in held:
+        held.clear()
+        held[key] = Encoder(definition)
+    return held[key]
+
+
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
     """Lengths (0: unused) of an optimal prefix code with none above `longest`, by package-merge."""
     used = np.flatnonzero(counts)
@@ -201,7 +214,7 @@ def _tokens(docs: DataFrame, definition, end_id: int) -> DataFrame:
     their ids as little-endian uint32 or, where the vocabulary allows, uint16."""
 
     def tokenize(batches):
-        encoder = Encoder(definition.value)
+        encoder = encoder_of(definition.value)
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
@@ -297,14 +310,17 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFra
                 ids = decoder.decode(np.frombuffer(row["payload"], np.uint8), counts, width, np.frombuffer(row["checkpoints"], "<u4"))
                 ids, ends = ids.astype("<u4"), counts.cumsum()
                 blobs = [ids[a:b].tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist())]
-                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["first"] + ends - counts), pa.array(counts), pa.array([crc32(x) for x in blobs], pa.int64())]
+                place = [pa.array(np.full(len(counts), row[k]), pa.int32()) for k in ("part", "seq")]
+                columns = [*place, pa.array(row["doc_ids"], pa.int64()), pa.array(ends - counts), pa.array(counts), pa.array([crc32(x) for x in blobs], pa.int64())]
                 if with_ids:
                     columns.append(pa.array(blobs, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 5 if with_ids else 4]
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    return segments.join(placed, ["part", "seq"]).mapInArrow(unpack, schema)
+    names = ["part", "seq", "doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 7 if with_ids else 6]
+    schema = "part int, seq int, doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    # Decoded where they are read: what meets the sums are rows of documents, not payloads.
+    found = segments.mapInArrow(unpack, schema).join(placed, ["part", "seq"])
+    return found.withColumn("start", F.col("start") + F.col("first")).select(names[2:])
 
 
 def op6_huffman_ids(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
