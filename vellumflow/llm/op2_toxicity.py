@@ -20,7 +20,7 @@ ORDERS = (4, 5)
 BITS = 20
 SAMPLE = 8000  # bound on the labelled rows that the classifier is fitted to
 SIGNIFICANT = 30.0
-FEATURES = 2048
+FEATURES = 1024
 PENALTY = 0.01
 SLICE = 2 << 20
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -38,14 +38,20 @@ def hashed(data: np.ndarray, order: int) -> np.ndarray:
     return (out >> np.uint32(32 - BITS)) | np.uint32(ORDERS.index(order) << BITS)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted, each value once; sorting small integers beats hashing them."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def features(text: bytes) -> np.ndarray:
     """Distinct hashed n-grams of a whole text, led and followed by a space."""
     folded = b" " + text.translate(FOLD) + b" "
     parts = [np.zeros(0, np.uint32)]
     for at in range(0, len(folded), SLICE):
         data = np.frombuffer(folded[at : at + SLICE + max(ORDERS) - 1], np.uint8)
-        parts += [np.unique(hashed(data, n)) for n in ORDERS]
-    return np.unique(np.concatenate(parts))
+        parts += [hashed(data, n) for n in ORDERS]
+    return distinct(np.concatenate(parts))
 
 
 def without_near_copies(sample: list[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
@@ -83,31 +89,33 @@ class Model:
         size = len(ORDERS) << BITS
         sample = without_near_copies(sample)
         y = np.array([label for _, label in sample], float)
-        found = [features(text) for text, _ in sample]
-        frequency = np.zeros((2, size))
-        for ids, label in zip(found, y.astype(int)):
-            frequency[min(max(label, 0), 1), ids] += 1
         y = np.clip(y, 0, 1)
+        frequency = np.zeros((2, size), np.float32)
+        for (text, _), label in zip(sample, y.astype(int)):
+            frequency[label, features(text)] += 1
         self.index = np.zeros(size, np.uint16)
         self.weights = np.zeros(1)
         self.bias = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 1.5)))
         if not 0 < y.sum() < len(y):
             return
-        smooth = frequency + 1
-        ratio = np.log(smooth[1] / (y.sum() + 2)) - np.log(smooth[0] / (len(y) - y.sum() + 2))
+        used = np.flatnonzero(frequency.sum(axis=0) > 1)
+        seen, share = frequency[:, used].astype(float), y.mean()
+        ratio = np.log((seen[1] + 1) / (y.sum() + 2)) - np.log((seen[0] + 1) / (len(y) - y.sum() + 2))
         # Likelihood-ratio statistic of the classes among the documents that hold the n-gram.
-        both, share = frequency.sum(axis=0), np.array([[1 - y.mean()], [y.mean()]])
-        evidence = 2 * (frequency * np.log(np.maximum(frequency, 1) / np.maximum(both * share, 1e-9))).sum(axis=0)
-        chosen = np.argsort(-evidence, kind="stable")[:FEATURES]
-        chosen = np.sort(chosen[evidence[chosen] >= SIGNIFICANT])
+        expected = seen.sum(axis=0) * np.array([[1 - share], [share]])
+        evidence = 2 * (seen * np.log(np.maximum(seen, 1) / expected)).sum(axis=0)
+        best = np.argsort(-evidence, kind="stable")[:FEATURES]
+        best = np.sort(best[evidence[best] >= SIGNIFICANT])
+        chosen, ratio = used[best], ratio[best]
         if not len(chosen):
             return
         self.index[chosen] = np.arange(1, len(chosen) + 1)
+        # Texts are taken apart again rather than held as n-grams all the while.
         x = np.zeros((len(y), len(chosen) + 1))
-        for row, ids in zip(x, found):
-            row[self.index[ids]] = 1
-        w, self.bias = logistic(x[:, 1:] * ratio[chosen], y, PENALTY)
-        self.weights = np.concatenate([[0], w * ratio[chosen]])
+        for row, (text, _) in zip(x, sample):
+            row[self.index[features(text)]] = 1
+        w, self.bias = logistic(x[:, 1:] * ratio, y, PENALTY)
+        self.weights = np.concatenate([[0], w * ratio])
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Probability of each whole text; empty ones have the prior. Texts lie side by side, parted
@@ -130,8 +138,8 @@ class Model:
                     place = np.flatnonzero(feature)
                     document = np.searchsorted(starts, place + at, "right") - 1
                     inside = (document >= 0) & (place + at + n <= starts[np.minimum(document + 1, len(group))])
-                    pairs.append(np.unique(document[inside] * len(self.weights) + feature[place[inside]]))
-            document, feature = np.divmod(np.unique(np.concatenate(pairs)), len(self.weights))
+                    pairs.append(distinct(document[inside] * len(self.weights) + feature[place[inside]]))
+            document, feature = np.divmod(distinct(np.concatenate(pairs)), len(self.weights))
             out[first:last] += np.bincount(document, self.weights[feature], len(group))
             first = last
         return 1 / (1 + np.exp(-np.clip(out, -700, 700)))
