@@ -114,18 +114,20 @@ def keys_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bucket_links(keys: np.ndarray, prints: np.ndarray, distance: int = DISTANCE):
-    """Links within runs of equal keys: all of them in runs of up to SMALL prints, a spanning forest
-    of the links in longer runs, whose blocks are compared one after the other."""
+    """Links within runs of equal keys: in each run enough of its links to connect what they all do. Runs
+    of up to SMALL prints are compared all at once, longer ones block by block."""
     close = lambda a, b: np.bitwise_count((a ^ b).view(np.uint64)) <= distance
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
     small = np.repeat(sizes <= SMALL, sizes)
     k, p = keys[small], prints[small]
+    labels = np.arange(len(k))
     for step in range(1, SMALL):
         same = np.flatnonzero(k[step:] == k[:-step])
         if not len(same):
             break
         near = same[close(p[same], p[same + step])]
+        near = near[spanning(labels, near, near + step)]
         yield p[near], p[near + step]
     for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
         run, labels = prints[start : start + size], np.arange(size)
