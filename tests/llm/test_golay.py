@@ -106,3 +106,40 @@ def test_stage_keeps_one_of_each_group(spark, make_docs, odd_texts):
     found = Counter(" ".join((r["text"] or "").lower().split()) for r in odd.collect())
     assert max(found.values()) == 1 and {r["doc_id"] for r in odd.collect()} >= {0, 3, 6, 7, 8, 10}
     assert golay.stage(spark, make_docs([]), "").count() == 0
+
+
+def shingle_sets(texts):
+    words = [t.lower().split() for t in texts]
+    return [{tuple(w[i : i + golay.WIDTH]) for i in range(max(1, len(w) - golay.WIDTH + 1))} for w in words]
+
+
+def least_by_all_pairs(rows):
+    sets = shingle_sets([t for _, t in rows])
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= golay.SIMILARITY * len(sets[i] | sets[j])]
+    labels = smallest(len(rows), pairs)
+    return {min(d for (d, _), x in zip(rows, labels) if x == c) for c in set(labels)}
+
+
+def families(draw, each, copies, changed, own, words=300):
+    """Texts of one template: families that are apart, in each some true copies."""
+    word = lambda: "".join(draw.choice("aeinrst") for _ in range(6))
+    texts, base = [], [word() for _ in range(words)]
+    for _ in range(each):
+        family = list(base)
+        for at in draw.sample(range(words), changed):
+            family[at] = word()
+        for _ in range(copies):
+            text = list(family)
+            for at in draw.sample(range(words), own):
+                text[at] = word()
+            texts.append(" ".join(text))
+    draw.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("block", [8 << 20, 20_000])
+def test_stage_compares_across_families(spark, make_docs, block, monkeypatch):
+    monkeypatch.setattr(golay, "BLOCK", block)
+    monkeypatch.setattr(golay, "PIVOTS", 3)
+    rows = families(random.Random(8), 150, 2, 2, 3)
+    assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == least_by_all_pairs(rows)

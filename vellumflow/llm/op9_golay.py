@@ -209,27 +209,32 @@ WIDTH = 5
 SIMILARITY = 0.8
 KEYED = 4
 CANDIDATE = 16  # differing bits of an independent fingerprint at which a pair is worth comparing
+BLOCK = 8 << 20  # bytes of text whose pairs are compared in one go
+LINKS = 1 << 16  # links thinned in one task
+PIVOTS = 64  # texts of a group of several blocks that each of its blocks is compared with
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """docs with __node, a hash of the folded words, and __f0 ..., KEYED + 1 fingerprints."""
+    """docs with __node, a hash of the folded words, __size, the bytes of the text, and __f0 ..., KEYED + 1
+    fingerprints."""
     from pyspark.sql.types import LongType, StructField, StructType
     from xxhash import xxh3_64_intdigest
 
-    names = ["__node", *(f"__f{k}" for k in range(KEYED + 1))]
+    names = ["__node", "__size", *(f"__f{k}" for k in range(KEYED + 1))]
 
     def fold(batches):
         for batch in batches:
             texts = document_bytes(batch.column("text"))
             nodes = np.array([xxh3_64_intdigest(b" ".join(x.lower().split())) for x in texts], np.uint64).view(np.int64)
             found = np.array([simhashes(x, WIDTH, KEYED + 1) for x in texts], np.int64).reshape(-1, KEYED + 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes), *(pa.array(c) for c in np.ascontiguousarray(found.T))], ["doc_id", *names])
+            sizes = pa.array([len(x) for x in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes), sizes, *(pa.array(c) for c in np.ascontiguousarray(found.T))], ["doc_id", *names])
 
     return docs.select("doc_id", "text").mapInArrow(fold, StructType([docs.schema["doc_id"], *(StructField(n, LongType()) for n in names)]))
 
 
-def _with_node(docs: DataFrame, sets: bool) -> DataFrame:
-    """docs with __node, or (__node, shingles) with the sorted distinct shingle hashes of each text."""
+def _with_node(docs: DataFrame) -> DataFrame:
+    """docs with __node."""
     from pyspark.sql.types import LongType, StructField, StructType
     from xxhash import xxh3_64_intdigest
 
@@ -237,57 +242,126 @@ def _with_node(docs: DataFrame, sets: bool) -> DataFrame:
         for batch in batches:
             texts = document_bytes(batch.column("text"))
             nodes = pa.array(np.array([xxh3_64_intdigest(b" ".join(x.lower().split())) for x in texts], np.uint64).view(np.int64))
-            if not sets:
-                yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "__node"])
-                continue
-            found = [np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(x, WIDTH)])).tobytes() for x in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("__node"), pa.array(found, pa.binary())], ["__node", "shingles"])
-
-    fields = docs.schema.fields
-    if sets:
-        return docs.select("__node", "text").mapInArrow(fold, "__node long, shingles binary")
-    return docs.mapInArrow(fold, StructType([*fields, StructField("__node", LongType())]))
-
-
-def _similar(pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b, x, y) whose shingle sets x, y have a Jaccard similarity of SIMILARITY or more."""
-
-    def test(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "__node"])
+
+    return docs.mapInArrow(fold, StructType([*docs.schema.fields, StructField("__node", LongType())]))
+
+
+def _thinned(links: DataFrame) -> DataFrame:
+    """Fewer links (a, b) that connect the same: a spanning forest of every LINKS of them."""
+
+    def forest(batches):
+        found = [np.stack([batch.column(c).to_numpy() for c in ("a", "b")]) for batch in batches if batch.num_rows]
+        if found:
+            a, b = np.concatenate(found, axis=1)
+            nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            used = spanning(np.arange(len(nodes)), at[: len(a)], at[len(a) :])
+            yield pa.RecordBatch.from_arrays([pa.array(a[used]), pa.array(b[used])], ["a", "b"])
+
+    links = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "close")
+    return links.repartition(1 + links.count() // LINKS).mapInArrow(forest, "a long, b long")
+
+
+def _similar(sets: list[np.ndarray], labels: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between sets whose Jaccard similarity is SIMILARITY or more: enough to connect, with the
+    equal labels, all that such pairs connect. Pairs are all there are, or, where `right` has any, those
+    of a set that is not `right` and a later one that is."""
+    sizes = np.array([len(x) for x in sets])
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = np.split(flat, np.cumsum(sizes)[:-1])
+    marked, labels, out = np.zeros(len(words), bool), labels.copy(), []
+    targets = np.flatnonzero(right) if right.any() else np.arange(len(sets))
+    for i in np.flatnonzero(~right & (sizes > 0)):
+        j = targets[np.searchsorted(targets, i, "right") :]
+        j = j[(labels[j] != labels[i]) & (np.minimum(sizes[j], sizes[i]) >= SIMILARITY * np.maximum(sizes[j], sizes[i]))]
+        if not len(j):
+            continue
+        marked[ids[i]] = True
+        both = np.add.reduceat(marked[np.concatenate([ids[x] for x in j])], np.cumsum(sizes[j]) - sizes[j], dtype=np.int64)
+        marked[ids[i]] = False
+        j = j[both >= SIMILARITY * (sizes[i] + sizes[j] - both)]
+        joined, first = np.unique(labels[j], return_index=True)
+        out += [(int(i), int(x)) for x in j[first]]
+        labels[np.isin(labels, joined)] = labels[i]
+    return out
+
+
+def _verified(whole: DataFrame, dealt: DataFrame) -> DataFrame:
+    """Links (a, b) of SIMILARITY or more between the nodes of each task of dealt(__task, __right, __node,
+    __least, __label), whose texts are those of `whole` with __node and, as doc_id, __least."""
+
+    def compare(rows):
+        nodes, sides, labels, texts = zip(*((n, *v) for n, v in sorted(rows.items(), key=lambda x: (x[1][0], x[0]))))
+        sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(x, WIDTH)])) for x in texts]
+        found = _similar(sets, np.array(labels), np.array(sides, bool))
+        return pa.RecordBatch.from_arrays([pa.array([nodes[i[side]] for i in found], pa.int64()) for side in (0, 1)], ["a", "b"])
+
+    def run(batches):
+        task, rows = None, {}
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= SIMILARITY * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
+            columns = [batch.column(c).to_pylist() for c in ("__task", "__node", "__right", "__label")]
+            for t, node, right, label, text in zip(*columns, document_bytes(batch.column("text"))):
+                if t != task:
+                    if len(rows) > 1:
+                        yield compare(rows)
+                    task, rows = t, {}
+                rows.setdefault(node, (right, label, text))
+        if len(rows) > 1:
+            yield compare(rows)
+
+    met = whole.select("__node", "doc_id", "text").join(dealt, "__node").where("doc_id <=> __least")
+    return met.select("__task", "__node", "__right", "__label", "text").repartition(F.col("__task")).sortWithinPartitions("__task").mapInArrow(run, "a long, b long")
+
+
+def _first_blocks(members: DataFrame) -> DataFrame:
+    """Tasks of the first round: the blocks of each group, each with some nodes that all of them have."""
+    block = F.pmod(F.xxhash64("__node"), "blocks")
+    shared = members.where((F.col("blocks") > 1) & (F.pmod(F.xxhash64("__node", F.lit(1)), "n") < PIVOTS)).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    both = members.withColumn("block", block).unionByName(shared.where(F.col("block") != block))
+    return both.select(F.xxhash64("group", "block").alias("__task"), F.lit(False).alias("__right"), "__node", F.col("least").alias("__least"), F.col("__node").alias("__label"))
+
+
+def _further_blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Tasks of the second round: within each group of several blocks, all pairs of blocks but those of
+    one label. A label of BLOCK bytes or more has blocks to itself; the others share some."""
+    labelled = members.where("blocks > 1").join(labels.withColumnRenamed("node", "__node"), "__node", "left").withColumn("label", F.coalesce("component", "__node"))
+    sums = labelled.groupBy("group", "label").agg(F.sum("size").alias("bytes"))
+    shared = sums.where(F.col("bytes") < BLOCK).groupBy("group").agg(F.ceil(F.sum("bytes") / BLOCK).alias("shared"))
+    own = F.col("bytes") >= BLOCK
+    part = F.when(own, F.pmod(F.xxhash64("__node"), F.ceil(F.col("bytes") / BLOCK))).otherwise(-1 - F.pmod(F.xxhash64("label"), F.greatest("shared", F.lit(1))))
+    dealt = labelled.join(sums, ["group", "label"]).join(shared, "group", "left").select("group", "__node", "least", "label", F.struct(F.when(own, F.col("label")).otherwise(0).alias("of"), part.alias("part")).alias("block"))
+    dealt = written(dealt, "dealt")
+    blocks = dealt.select("group", "block").distinct()
+    pairs = blocks.withColumnRenamed("block", "x").join(blocks.withColumnRenamed("block", "y"), "group").where("x <= y and (x.part < 0 or x.of <> y.of)")
+    pairs = written(pairs.withColumn("__task", F.xxhash64("group", "x.of", "x.part", "y.of", "y.part")), "blocks")
+    sides = [(F.col("block") == F.col("x")), (F.col("block") == F.col("y")) & (F.col("x") != F.col("y"))]
+    tasks = [dealt.join(pairs, "group").where(w).select("__task", F.lit(right).alias("__right"), "__node", F.col("least").alias("__least"), F.col("label").alias("__label")) for right, w in zip((False, True), sides)]
+    return tasks[0].union(tasks[1])
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near copies stays, that with the least doc_id.
 
     Near copies share SIMILARITY or more of their five-word shingles. Texts of equal words are one node.
-    Candidates share a Golay key of one of KEYED fingerprints and are near in a further one; each is
-    compared shingle by shingle before it counts as a link. Null and wordless texts are copies of each
-    other; a null doc_id is the last choice; no documents give none."""
+    Candidates share a Golay key of one of KEYED fingerprints and are near in a further one; what
+    candidates connect is a group, and within each group all nodes that are not yet connected are
+    compared shingle by shingle, in blocks. Null and wordless texts are copies of each other; a null
+    doc_id is the last choice; no documents give none."""
     described = written(_described(docs), "described")
-    nodes = described.groupBy("__node").agg(F.min("doc_id").alias("least"), *(F.max(f"__f{k}").alias(f"f{k}") for k in range(KEYED + 1)))
+    nodes = described.groupBy("__node").agg(F.min("doc_id").alias("least"), F.max("__size").alias("size"), *(F.max(f"__f{k}").alias(f"f{k}") for k in range(KEYED + 1)))
     nodes = written(nodes.withColumnRenamed(f"f{KEYED}", "fp"), "nodes")
-    # Nodes with equal last fingerprints: each is paired with the least of them, which stands for all.
-    heads = nodes.groupBy("fp").agg(F.min("__node").alias("head"), *(F.max(F.struct("__node", f"f{k}"))[f"f{k}"].alias(f"f{k}") for k in range(KEYED)))
-    alike = nodes.select("fp", F.col("__node").alias("b")).join(heads.select("fp", F.col("head").alias("a")), "fp").where("a <> b").select("a", "b")
-    close = written(links(heads, tuple(f"f{k}" for k in range(KEYED)), CANDIDATE).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "close")
-    named = heads.select("fp", "head")
-    close = close.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = written(close.union(alike), "pairs")
-    whole = _with_node(docs, False)
-    asked = pairs.select(F.col("a").alias("__node")).union(pairs.select(F.col("b").alias("__node"))).distinct().join(nodes.select("__node", F.col("least").alias("doc_id")), "__node")
-    one = whole.select("__node", "doc_id", "text").join(asked.select("__node", F.col("doc_id").alias("__least")), "__node").where("doc_id <=> __least")
-    sets = written(_with_node(one, True).dropDuplicates(["__node"]), "sets")
-    met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    labels = components(_similar(met)).withColumnRenamed("node", "__node")
-    grouped = nodes.select("__node", "least").join(labels, "__node", "left").withColumn("component", F.coalesce("component", "__node"))
+    # Nodes with equal last fingerprints are in one group; the least of them stands for all.
+    heads = nodes.groupBy("fp").agg(*(F.max(F.struct("__node", f"f{k}"))[f"f{k}"].alias(f"f{k}") for k in range(KEYED)))
+    groups = components(_thinned(links(heads, tuple(f"f{k}" for k in range(KEYED)), CANDIDATE)))
+    grouped = written(nodes.select("__node", "least", "size", "fp").join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("group", F.coalesce("component", "fp")).drop("fp", "component"), "groups")
+    sums = grouped.groupBy("group").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.sum("size") / BLOCK), F.lit(1)).alias("blocks")).where("n > 1")
+    members = written(grouped.join(sums, "group"), "members")
+    whole = _with_node(docs)
+    similar = written(_verified(whole, _first_blocks(members)), "similar")
+    labels = components(similar)
+    if members.where("blocks > 1").take(1):
+        labels = components(similar.union(_verified(whole, _further_blocks(members, labels))))
+    grouped = nodes.select("__node", "least").join(labels.withColumnRenamed("node", "__node"), "__node", "left").withColumn("component", F.coalesce("component", "__node"))
     first = F.struct(F.col("least").isNull().alias("n"), "least", "__node")
     kept = grouped.groupBy("component").agg(F.min(first).alias("k")).select(F.col("k.__node").alias("__kept"), F.col("k.least").alias("__least"))
     chosen = whole.join(kept, (F.col("__node") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__least")))
