@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from vellumflow.llm import components as parts
@@ -143,3 +144,19 @@ def test_stage_compares_across_families(spark, make_docs, block, monkeypatch):
     monkeypatch.setattr(golay, "PIVOTS", 3)
     rows = families(random.Random(8), 150, 2, 2, 3)
     assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == least_by_all_pairs(rows)
+
+
+def test_stage_uses_keys_of_all_equal_fingerprints(spark, make_docs, monkeypatch):
+    draw = random.Random(9)
+    words = [[f"w{draw.randrange(10**6)}" for _ in range(300)] for _ in range(2)]
+    rows = [(d, " ".join([*words[d // 2][:-1], f"end{d}"])) for d in range(4)]
+    described = golay._described
+
+    def same_last(docs):
+        # 0 and 2 have equal last fingerprints; their other keys lead to 1 and to 3.
+        keys = {f"__f{k}": F.when(F.col("doc_id") < 2, 0).otherwise(-1).cast("long") for k in range(golay.KEYED)}
+        last = F.when(F.col("doc_id") % 2 == 0, 0).otherwise(F.col("doc_id")).cast("long")
+        return described(docs).withColumns(keys | {f"__f{golay.KEYED}": last})
+
+    monkeypatch.setattr(golay, "_described", same_last)
+    assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == {0, 2}

@@ -140,7 +140,7 @@ def _bucket_links(keys: np.ndarray, prints: np.ndarray, distance: int = DISTANCE
 
 
 def links(prints: DataFrame, keyed_by: tuple[str, ...] = ("fp",), distance: int = DISTANCE) -> DataFrame:
-    """Links (a, b) between distinct `fp` at the distance or less that share a key of a `keyed_by`
+    """Links (a, b) between `fp` at the distance or less that share a key of a `keyed_by`
     column: for keys of `fp` itself and DISTANCE, enough of them that every two such fingerprints are
     connected. Each key's fingerprints meet in one task, a run of equal keys after the other; in large
     runs only links that join two parts are given out."""
@@ -163,7 +163,13 @@ def links(prints: DataFrame, keyed_by: tuple[str, ...] = ("fp",), distance: int
                 if len(keys) < 100_000:
                     continue
             whole = len(keys) if batch is None else int(np.searchsorted(keys, keys[-1]))
-            for a, b in _bucket_links(keys[:whole], prints[:whole], distance) if whole else ():
+            k, p = keys[:whole], prints[:whole]
+            if "fp" not in keyed_by:  # one fp may have a key by several rows
+                order = np.lexsort((p, k))
+                k, p = k[order], p[order]
+                once = np.concatenate([[True], (k[1:] != k[:-1]) | (p[1:] != p[:-1])])[: len(k)]
+                k, p = k[once], p[once]
+            for a, b in _bucket_links(k, p, distance) if whole else ():
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
             keys, prints = keys[whole:], prints[whole:]
@@ -350,9 +356,9 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     described = written(_described(docs), "described")
     nodes = described.groupBy("__node").agg(F.min("doc_id").alias("least"), F.max("__size").alias("size"), *(F.max(f"__f{k}").alias(f"f{k}") for k in range(KEYED + 1)))
     nodes = written(nodes.withColumnRenamed(f"f{KEYED}", "fp"), "nodes")
-    # Nodes with equal last fingerprints are in one group; the least of them stands for all.
-    heads = nodes.groupBy("fp").agg(*(F.max(F.struct("__node", f"f{k}"))[f"f{k}"].alias(f"f{k}") for k in range(KEYED)))
-    groups = components(_thinned(links(heads, tuple(f"f{k}" for k in range(KEYED)), CANDIDATE)))
+    # Nodes with equal last fingerprints are in one group, which the keys of all of them connect to others.
+    prints = nodes.drop("__node", "least", "size").distinct()
+    groups = components(_thinned(links(prints, tuple(f"f{k}" for k in range(KEYED)), CANDIDATE)))
     grouped = written(nodes.select("__node", "least", "size", "fp").join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("group", F.coalesce("component", "fp")).drop("fp", "component"), "groups")
     sums = grouped.groupBy("group").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.sum("size") / BLOCK), F.lit(1)).alias("blocks")).where("n > 1")
     members = written(grouped.join(sums, "group"), "members")
