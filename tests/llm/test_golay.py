@@ -160,3 +160,17 @@ def test_stage_uses_keys_of_all_equal_fingerprints(spark, make_docs, monkeypatch
 
     monkeypatch.setattr(golay, "_described", same_last)
     assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == {0, 2}
+
+
+def test_stage_finds_single_pairs_at_the_threshold(spark, make_docs):
+    draw = random.Random(10)
+    rows = []
+    for i in range(200):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+        other = list(words)
+        for at in range(20, 300, 48):
+            other[at] = "other"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    sets = shingle_sets([t for _, t in rows])
+    assert all(0.8 <= len(a & b) / len(a | b) < 0.83 for a, b in zip(sets[::2], sets[1::2]))
+    assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == {2 * i for i in range(200)}

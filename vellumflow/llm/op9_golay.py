@@ -57,8 +57,12 @@ def shingle_hashes(text: bytes, width: int):
 def simhashes(text: bytes, width: int, many: int = 1) -> list[int]:
     """Bit i is set if it is set in over half of the shingle hashes; no words give 0. Further
     fingerprints take the hashes scrambled in other ways."""
+    return _prints(shingle_hashes(text, width), many)
+
+
+def _prints(slices, many: int) -> list[int]:
     counts, n = np.zeros((many, 64), np.int64), 0
-    for hashes in shingle_hashes(text, width):
+    for hashes in slices:
         n += len(hashes)
         for k in range(many):
             if k:
@@ -215,24 +219,69 @@ WIDTH = 5
 SIMILARITY = 0.8
 KEYED = 4
 CANDIDATE = 16  # differing bits of an independent fingerprint at which a pair is worth comparing
+BANDS, ROWS = 20, 4  # a pair at SIMILARITY shares none of the bands with a chance of (1 - 0.8 ** 4) ** 20 = 3e-5
 BLOCK = 8 << 20  # bytes of text whose pairs are compared in one go
 LINKS = 1 << 16  # links thinned in one task
 PIVOTS = 64  # texts of a group of several blocks that each of its blocks is compared with
 
 
+def band_keys(slices) -> np.ndarray:
+    """BANDS keys of a text's shingle hashes, each from the least of ROWS scrambles of them: two texts
+    share a key with a chance of their Jaccard similarity to the power of ROWS."""
+    factors = np.random.default_rng(9).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for hashes in slices:
+        mixed = hashes ^ hashes >> np.uint64(32)
+        for at in range(0, len(mixed), 2048):
+            least = np.minimum(least, (mixed[at : at + 2048, None] * factors).min(axis=0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64)
+
+
+def _band_links(prints: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the `fp` of all rows that share one of the keys b0 ...."""
+
+    def spread(batches):
+        for batch in batches:
+            for k in range(BANDS):
+                yield pa.RecordBatch.from_arrays([batch.column(f"b{k}"), batch.column("fp")], ["key", "fp"])
+
+    def join(batches):
+        key = head = None
+        for batch in batches:
+            keys, prints = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
+            if not len(keys):
+                continue
+            starts = np.concatenate([[True], keys[1:] != keys[:-1]])
+            heads = prints[np.flatnonzero(starts)[np.cumsum(starts) - 1]]
+            if key is not None and keys[0] == key:
+                heads[keys == key] = head
+            key, head = keys[-1], heads[-1]
+            nodes, at = np.unique(np.concatenate([heads, prints]), return_inverse=True)
+            used = spanning(np.arange(len(nodes)), at[: len(keys)], at[len(keys) :])
+            yield pa.RecordBatch.from_arrays([pa.array(heads[used]), pa.array(prints[used])], ["a", "b"])
+
+    keyed = prints.select("fp", *(f"b{k}" for k in range(BANDS))).mapInArrow(spread, "key long, fp long")
+    return keyed.repartition(F.col("key")).sortWithinPartitions("key", "fp").mapInArrow(join, "a long, b long")
+
+
 def _described(docs: DataFrame) -> DataFrame:
-    """docs with __node, a hash of the folded words, __size, the bytes of the text, and __f0 ..., KEYED + 1
-    fingerprints."""
+    """docs with __node, a hash of the folded words, __size, the bytes of the text, __f0 ..., KEYED + 1
+    fingerprints, and __b0 ..., the band keys."""
     from pyspark.sql.types import LongType, StructField, StructType
     from xxhash import xxh3_64_intdigest
 
-    names = ["__node", "__size", *(f"__f{k}" for k in range(KEYED + 1))]
+    names = ["__node", "__size", *(f"__f{k}" for k in range(KEYED + 1)), *(f"__b{k}" for k in range(BANDS))]
 
     def fold(batches):
         for batch in batches:
             texts = document_bytes(batch.column("text"))
             nodes = np.array([xxh3_64_intdigest(b" ".join(x.lower().split())) for x in texts], np.uint64).view(np.int64)
-            found = np.array([simhashes(x, WIDTH, KEYED + 1) for x in texts], np.int64).reshape(-1, KEYED + 1)
+            hashes = (list(shingle_hashes(x, WIDTH)) for x in texts)
+            found = np.array([[*_prints(x, KEYED + 1), *band_keys(x)] for x in hashes], np.int64).reshape(-1, KEYED + 1 + BANDS)
             sizes = pa.array([len(x) for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes), sizes, *(pa.array(c) for c in np.ascontiguousarray(found.T))], ["doc_id", *names])
 
@@ -349,16 +398,17 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near copies stays, that with the least doc_id.
 
     Near copies share SIMILARITY or more of their five-word shingles. Texts of equal words are one node.
-    Candidates share a Golay key of one of KEYED fingerprints and are near in a further one; what
-    candidates connect is a group, and within each group all nodes that are not yet connected are
+    Candidates share a Golay key of one of KEYED fingerprints and are near in a further one, or share
+    one of BANDS keys of least hashes, which find the pairs that fingerprints miss; what they connect is a group, and within each group all nodes that are not yet connected are
     compared shingle by shingle, in blocks. Null and wordless texts are copies of each other; a null
     doc_id is the last choice; no documents give none."""
     described = written(_described(docs), "described")
-    nodes = described.groupBy("__node").agg(F.min("doc_id").alias("least"), F.max("__size").alias("size"), *(F.max(f"__f{k}").alias(f"f{k}") for k in range(KEYED + 1)))
+    nodes = described.groupBy("__node").agg(F.min("doc_id").alias("least"), F.max("__size").alias("size"), *(F.max(f"__f{k}").alias(f"f{k}") for k in range(KEYED + 1)), *(F.max(f"__b{k}").alias(f"b{k}") for k in range(BANDS)))
     nodes = written(nodes.withColumnRenamed(f"f{KEYED}", "fp"), "nodes")
     # Nodes with equal last fingerprints are in one group, which the keys of all of them connect to others.
-    prints = nodes.drop("__node", "least", "size").distinct()
-    groups = components(_thinned(links(prints, tuple(f"f{k}" for k in range(KEYED)), CANDIDATE)))
+    keyed = tuple(f"f{k}" for k in range(KEYED))
+    candidates = links(nodes.select("fp", *keyed).distinct(), keyed, CANDIDATE).union(_band_links(nodes))
+    groups = components(_thinned(candidates))
     grouped = written(nodes.select("__node", "least", "size", "fp").join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("group", F.coalesce("component", "fp")).drop("fp", "component"), "groups")
     sums = grouped.groupBy("group").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.sum("size") / BLOCK), F.lit(1)).alias("blocks")).where("n > 1")
     members = written(grouped.join(sums, "group"), "members")
