@@ -162,7 +162,7 @@ def parse_response(spark, sf_dir):
 
 
 def blank_filter(spark, sf_dir):
-    """Ink ratio from the share of letters; every fourth check fails, and its page stays."""
+    """Verdicts of a blank detector, whose exit codes are made up from doc_id; a page whose check fails stays."""
     p = _pages(spark, sf_dir).withColumn("code", (F.col("doc_id") % 4).cast("int"))
     checked = p.withColumn("v", names.blank_verdict(F.col("code")))
     return pages.not_blank(checked, F.col("v.blank")).select("doc_id", F.col("v.error").alias("error"))
