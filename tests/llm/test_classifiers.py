@@ -1,8 +1,11 @@
 import random
+import re
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
 
+from vellumflow.llm import ngrams
 from vellumflow.llm import op2_toxicity as toxicity
 from vellumflow.llm import op8_bradley_terry as quality
 
@@ -66,12 +69,66 @@ def test_odd_rows_and_missing_labels(spark, make_docs, odd_texts):
     assert toxicity.toxicity(docs.limit(0), frame, docs.limit(0), "s").count() == 0
 
 
-def test_scores_do_not_depend_on_neighbours():
-    model = toxicity.Model([(r[1].encode(), r[2]) for r in corpus(200)])
-    texts = [r[1].encode() for r in corpus(40, 9)] + [b"", b"scum", b"sc", b"um"]
-    assert np.allclose(model.scores(texts), [model.scores([t])[0] for t in texts])
-    plain = [1 / (1 + np.exp(-(model.bias + model.weights[model.index[toxicity.features(t)]].sum()))) for t in texts]
-    assert np.allclose(model.scores(texts), plain)
+def densities_plainly(text, signs):
+    """Each n-gram's density by counting strings."""
+    kind = lambda c: c if c > "\uffff" else " " if c.isspace() or c < " " or not (signs or c.isalnum()) else "0" if signs and c.isdigit() else c
+    text = " " + re.sub(" +", " ", "".join(map(kind, text.lower()))).strip(" ") + " "
+    text = re.sub(" +", " ", text)
+    found = Counter(text[i : i + n] for n in ngrams.ORDERS for i in range(len(text) - n + 1))
+    hashed = Counter()
+    for gram, times in found.items():
+        hashed[int(dict(ngrams.hashes(np.array([ord(c) for c in gram], np.uint32)))[len(gram)][0])] += times
+    return {h: int(ngrams.density(np.array([t]), len(text.split()))[0]) for h, t in hashed.items()}
+
+
+def test_densities(monkeypatch):
+    texts = [r[1] for r in corpus(12, 9)] + ["", "a", " ", "A1 b\u00e9\tC\u4e2d$$ \U0001f600x", "###  12 34"]
+    for signs in (False, True):
+        plain = [densities_plainly(t, signs) for t in texts]
+        grams = np.array(sorted({h for p in plain for h in p})[::3], np.uint32)
+        expected = np.array([[p.get(int(g), 0) for g in grams] for p in plain]) / ngrams.STEPS
+        for size in (1 << 20, 50):  # whole and in slices
+            monkeypatch.setattr(ngrams, "SLICE", size)
+            found = np.concatenate([x for _, x in ngrams.Densities(grams, signs).groups(texts)])
+            assert np.allclose(found, expected)
+            for text, p in zip(texts, plain):
+                h, times, words = ngrams.counted(text, signs)
+                assert dict(zip(h.tolist(), ngrams.density(times, words).tolist())) == p
+
+
+def test_fit_is_the_least_loss():
+    """The weights of both classifiers against plain Newton steps."""
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(600, 4)).astype(np.float32)
+    y = draw.random(600) < 1 / (1 + np.exp(-(x @ [1.5, -1, 0, 0.5] - 1)))
+    w = np.zeros(5)
+    full, ridge = np.concatenate([x, np.ones((600, 1))], axis=1).astype(float), np.diag([0.01] * 4 + [0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-full @ w))
+        w -= np.linalg.solve((full * (p * (1 - p))[:, None]).T @ full / 600 + ridge, full.T @ (p - y) / 600 + ridge @ w)
+    found, bias = toxicity.logistic(x, y, 0.01)
+    assert np.allclose([*found, bias], w, atol=2e-3)
+    better, worse = draw.choice(np.flatnonzero(y), 2000), draw.choice(np.flatnonzero(~y), 2000)
+    d, w = (x[better] - x[worse]).astype(float), np.zeros(4)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-d @ w))
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / 2000 + 0.01 * np.eye(4), d.T @ (1 - p) / 2000 - 0.01 * w)
+    assert np.allclose(quality.bradley_terry(x, better, worse, 0.01), w, atol=2e-3)
+
+
+def test_long_texts_score_whole(spark, make_docs, monkeypatch):
+    """A text of several slices scores as one that is held at once."""
+    rows = corpus(80)
+    long = " ".join(r[1] for r in rows) + " idiot"
+    docs = make_docs([*((r[0], r[1]) for r in rows), (999, long)])
+    labels = spark.createDataFrame([(r[0], r[3], r[2]) for r in rows], "doc_id long, quality int, toxic int")
+    sample = ngrams.learnable(docs, labels, "toxic", 50, 64, signs=False)
+    assert len(sample.y) <= 50 and sample.x.shape == (len(sample.y), len(sample.grams))
+    model = toxicity.Model(sample)
+    whole = model.scores([long.encode()])
+    monkeypatch.setattr(ngrams, "SLICE", 700)
+    assert np.allclose(model.scores([long.encode()]), whole)
+    assert np.allclose(model.scores([r[1].encode() for r in rows]), [model.scores([r[1].encode()])[0] for r in rows])
 
 
 def test_words_in_slices(monkeypatch):
@@ -81,11 +138,24 @@ def test_words_in_slices(monkeypatch):
     assert quality.measures(text) == whole
 
 
-def test_bradley_terry_recovers_weights():
-    draw = np.random.default_rng(0)
-    w, x = np.array([2.0, -1.0, 0.0]), draw.normal(size=(20_000, 3))
-    wins = draw.random(len(x)) < 1 / (1 + np.exp(-x @ w))
-    assert np.allclose(quality.bradley_terry(np.where(wins[:, None], x, -x), 0.0), w, atol=0.1)
+def test_toxic_words_of_several_languages(spark, tables):
+    """Slurs are made-up beginnings of words in three alphabets; held out, most are found in each."""
+    draw, rows = random.Random(6), []
+    letters = {"de": ("achl", "einrstä"), "fr": ("réeu", "aeoiéèç"), "el": ("σκατ", "αεινορτ")}
+    for i in range(1500):
+        lang = ("de", "fr", "el")[i % 3]
+        slur, own = letters[lang]
+        words = ["".join(draw.choice(own + "mnl") for _ in range(draw.randint(2, 8))) for _ in range(draw.randint(30, 120))]
+        toxic = i % 7 == 0
+        for _ in range(max(2, len(words) // 25) if toxic else draw.random() < 0.1):
+            words[draw.randrange(len(words))] = slur + draw.choice(words)
+        rows.append((i, " ".join(words), int(toxic), lang))
+    at = tables(documents=spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), labels=spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id long, quality int, toxic int"))
+    said = {r["doc_id"]: r["predicted"] for r in toxicity.op2_ngram_toxicity(spark, at).collect() if r["held_out"]}
+    for lang in letters:
+        own = [(r[2], said[r[0]]) for r in rows if r[0] in said and r[3] == lang]
+        assert sum(t and p for t, p in own) >= 0.7 * sum(t for t, _ in own)
+        assert sum(p and not t for t, p in own) <= 0.03 * len(own)
 
 
 def test_stage(spark, make_docs, tables):

@@ -80,18 +80,6 @@ def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> list[tuple[bytes, int]]:
-    """At most `limit` labelled texts outside the held-out rows, those with the least hash of their id,
-    equal texts once. Rows without a label or an id are left out; null texts are empty."""
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).alias("label"))
-    drawn = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))  # `limit` rows at the most
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(drawn, "doc_id").limit(2 * limit).collect()
-    texts: dict[bytes, int] = {}
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"])):
-        texts.setdefault(r["text"].encode(), int(r["label"]))
-    return list(texts.items())
-
-
 def with_scores(docs: DataFrame, score, name: str) -> DataFrame:
     """docs with a double column `name`, in place of any such, from score(list of text bytes) -> array."""
     docs = docs.drop(name)

@@ -1,156 +1,89 @@
 """Toxicity by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Texts are folded to lower case with all runs apart from letters and digits as spaces; their n-grams
-of bytes are hashed. For each hashed n-gram the log ratio of its smoothed document frequencies in
-the two classes is taken; presence times ratio is a feature, and a logistic regression with a
-quadratic penalty weighs the features whose ratio is significant.
+of two to six characters are hashed. A feature is the density of an n-gram in a text times the
+log ratio of its mean densities in the two classes; a logistic regression with a quadratic penalty,
+chosen on a part of the sample, weighs the features.
 """
 
 from __future__ import annotations
 
-from zlib import crc32
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import is_held_out, labelled_sample, table, with_scores
+from vellumflow.llm.common import is_held_out, table, with_scores
+from vellumflow.llm.ngrams import Densities, Sample, learnable
 
-ORDERS = (4, 5)
-BITS = 20
 SAMPLE = 8000  # bound on the labelled rows that the classifier is fitted to
-SIGNIFICANT = 30.0
-FEATURES = 1024
-PENALTY = 0.01
-SLICE = 2 << 20
-FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-
-
-def hashed(data: np.ndarray, order: int) -> np.ndarray:
-    """A hash of BITS bits of every n-gram of `order` bytes, set apart by order."""
-    n = len(data) - order + 1
-    if n <= 0:
-        return np.zeros(0, np.uint32)
-    out = np.full(n, order, np.uint32)
-    for i in range(order):
-        out = (out ^ data[i : i + n]) * np.uint32(0x01000193)
-    out = (out ^ out >> np.uint32(15)) * np.uint32(0x9E3779B1)
-    return (out >> np.uint32(32 - BITS)) | np.uint32(ORDERS.index(order) << BITS)
-
-
-def distinct(x: np.ndarray) -> np.ndarray:
-    """Sorted, each value once; sorting small integers beats hashing them."""
-    x = np.sort(x)
-    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
-
-
-def features(text: bytes) -> np.ndarray:
-    """Distinct hashed n-grams of a whole text, led and followed by a space."""
-    folded = b" " + text.translate(FOLD) + b" "
-    parts = [np.zeros(0, np.uint32)]
-    for at in range(0, len(folded), SLICE):
-        data = np.frombuffer(folded[at : at + SLICE + max(ORDERS) - 1], np.uint8)
-        parts += [hashed(data, n) for n in ORDERS]
-    return distinct(np.concatenate(parts))
-
-
-def without_near_copies(sample: list[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
-    """The sample without texts that share half of their least word four-gram hashes with texts
-    before: copies of one document are not independent evidence for what it holds."""
-    seen: set[int] = set()
-    out = []
-    for text, label in sample:
-        words = text.translate(FOLD).split()
-        least = sorted({crc32(b" ".join(words[i : i + 4])) for i in range(max(1, len(words) - 3))})[:8]
-        if 2 * sum(h in seen for h in least) < len(least):
-            out.append((text, label))
-        seen.update(least)
-    return out
-
-
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> tuple[np.ndarray, float]:
+FEATURES = 2048
+PENALTIES = (1e-2, 1e-3, 1e-4)
+LEAST = 50  # texts of a class below which the middle penalty is taken unseen
+
+
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights and bias by accelerated gradient descent; the bias is not penalised."""
-    w, b, n = np.zeros(x.shape[1]), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 1.5))), len(y)
-    step = 1 / (0.25 * (float((x * x).sum(axis=1).mean()) + 1) * 1.5 + penalty)
+    n = len(y)
+    y = y.astype(np.float32)
+    v = np.ones(x.shape[1], np.float32)
+    for _ in range(20):  # the largest curvature, by power iteration
+        v = x.T @ (x @ v)
+        size = float(np.sqrt(v @ v))
+        v /= max(size, 1e-12)
+    step = np.float32(1 / (0.25 * (1.1 * size / n + 1) + penalty))
+    w, b = np.zeros(x.shape[1], np.float32), np.float32(np.log((y.sum() + 0.5) / (n - y.sum() + 1.5)))
     v, c = w.copy(), b
     for k in range(rounds):
-        p = 1 / (1 + np.exp(-(x @ v + c)))
-        g, h = x.T @ (p - y) / n + penalty * v, float((p - y).mean())
-        w2, b2 = v - step * g, c - step * h
-        v, c = w2 + k / (k + 3) * (w2 - w), b2 + k / (k + 3) * (b2 - b)
+        p = 1 / (1 + np.exp(-np.clip(x @ v + c, -30, 30)))
+        w2, b2 = v - step * (x.T @ (p - y) / n + np.float32(penalty) * v), c - step * (p - y).mean()
+        pull = np.float32(k / (k + 3))
+        v, c = w2 + pull * (w2 - w), b2 + pull * (b2 - b)
         w, b = w2, b2
-    return w, b
+    return w.astype(float), float(b)
+
+
+def best_penalty(x: np.ndarray, y: np.ndarray) -> float:
+    """The penalty under which a quarter of the sample, held back, is likeliest."""
+    if min(y.sum(), len(y) - y.sum()) < LEAST:
+        return PENALTIES[1]
+    back = np.arange(len(y)) % 4 == 0
+
+    def loss(penalty: float) -> float:
+        w, b = logistic(x[~back], y[~back], penalty)
+        return float(np.logaddexp(0, np.where(y[back], -1, 1) * (x[back] @ w + b)).mean())
+
+    return min(PENALTIES, key=loss)
 
 
 class Model:
-    """Hashed n-gram -> index of its feature (0: none), weights with the ratios folded in, bias."""
-
-    def __init__(self, sample: list[tuple[bytes, int]]) -> None:
-        size = len(ORDERS) << BITS
-        sample = without_near_copies(sample)
-        y = np.array([label for _, label in sample], float)
-        y = np.clip(y, 0, 1)
-        frequency = np.zeros((2, size), np.float32)
-        for (text, _), label in zip(sample, y.astype(int)):
-            frequency[label, features(text)] += 1
-        self.index = np.zeros(size, np.uint16)
-        self.weights = np.zeros(1)
+    """Densities of the chosen n-grams, weights with the ratios folded in, bias."""
+
+    def __init__(self, sample: Sample) -> None:
+        y = sample.y
+        self.densities, self.weights = Densities(sample.grams, signs=False), np.zeros(len(sample.grams))
         self.bias = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 1.5)))
-        if not 0 < y.sum() < len(y):
-            return
-        used = np.flatnonzero(frequency.sum(axis=0) > 1)
-        seen, share = frequency[:, used].astype(float), y.mean()
-        ratio = np.log((seen[1] + 1) / (y.sum() + 2)) - np.log((seen[0] + 1) / (len(y) - y.sum() + 2))
-        # Likelihood-ratio statistic of the classes among the documents that hold the n-gram.
-        expected = seen.sum(axis=0) * np.array([[1 - share], [share]])
-        evidence = 2 * (seen * np.log(np.maximum(seen, 1) / expected)).sum(axis=0)
-        best = np.argsort(-evidence, kind="stable")[:FEATURES]
-        best = np.sort(best[evidence[best] >= SIGNIFICANT])
-        chosen, ratio = used[best], ratio[best]
-        if not len(chosen):
-            return
-        self.index[chosen] = np.arange(1, len(chosen) + 1)
-        # Texts are taken apart again rather than held as n-grams all the while.
-        x = np.zeros((len(y), len(chosen) + 1))
-        for row, (text, _) in zip(x, sample):
-            row[self.index[features(text)]] = 1
-        w, self.bias = logistic(x[:, 1:] * ratio, y, PENALTY)
-        self.weights = np.concatenate([[0], w * ratio])
+        if len(sample.grams) and 0 < y.sum() < len(y):
+            x = sample.x
+            x *= sample.ratio.astype(np.float32)
+            w, self.bias = logistic(x, y, best_penalty(x, y))
+            self.weights = w * sample.ratio
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Probability of each whole text; empty ones have the prior. Texts lie side by side, parted
-        by spaces, and only n-grams that are features are looked at further."""
+        """Probability of each whole text; empty ones have the prior."""
         out = np.full(len(texts), self.bias)
-        first = 0
-        while first < len(texts):
-            size, last = 0, first
-            while last < len(texts) and (last == first or size + len(texts[last]) <= SLICE):
-                size += len(texts[last])
-                last += 1
-            group = texts[first:last]
-            data = b"  " + b"  ".join(x.translate(FOLD) for x in group) + b" "
-            starts = np.cumsum([1, *(len(x) + 2 for x in group)])
-            pairs = [np.zeros(0, np.int64)]
-            for at in range(0, len(data), SLICE):
-                part = np.frombuffer(data[at : at + SLICE + max(ORDERS) - 1], np.uint8)
-                for n in ORDERS:
-                    feature = self.index[hashed(part, n)]
-                    place = np.flatnonzero(feature)
-                    document = np.searchsorted(starts, place + at, "right") - 1
-                    inside = (document >= 0) & (place + at + n <= starts[np.minimum(document + 1, len(group))])
-                    pairs.append(distinct(document[inside] * len(self.weights) + feature[place[inside]]))
-            document, feature = np.divmod(distinct(np.concatenate(pairs)), len(self.weights))
-            out[first:last] += np.bincount(document, self.weights[feature], len(group))
-            first = last
+        if len(self.weights):
+            for first, x in self.densities.groups([t.decode("utf-8", "replace") for t in texts]):
+                out[first : first + len(x)] += x @ self.weights
         return 1 / (1 + np.exp(-np.clip(out, -700, 700)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, target: DataFrame, name: str) -> DataFrame:
     """target with the probability `name` that its text is toxic, learnt from the labels of docs.
 
-    Only text is looked at. Null and empty texts get the prior, and so do all texts where labels of
-    both classes are missing; repeated rows score alike; no rows give no rows."""
-    model = docs.sparkSession.sparkContext.broadcast(Model(labelled_sample(docs, labels, "toxic", SAMPLE)))
+    Only text is looked at. Null and empty texts get about the prior, and so do all texts where labels
+    of both classes are missing. Very long texts are scored whole, a slice at a time. Repeated rows and
+    equal texts score alike; no rows give no rows. A column `name` is replaced, all others stay."""
+    model = docs.sparkSession.sparkContext.broadcast(Model(learnable(docs, labels, "toxic", SAMPLE, FEATURES, signs=False)))
     return with_scores(target, lambda texts: model.value.scores(texts), name)
 
 
@@ -162,6 +95,11 @@ def op2_ngram_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that score below one half."""
-    scored = toxicity(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), docs, "__toxicity")
-    return scored.where(F.col("__toxicity") < 0.5).drop("__toxicity")
+    """Pipeline stage: the documents that score below one half, as they are. Null and empty texts are
+    kept unless half of the labels are toxic; a column named as the inner score would be replaced, so
+    its name is made unlike all others; no documents give none."""
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    scored = toxicity(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), docs, name)
+    return scored.where(F.col(name) < 0.5).drop(name)
