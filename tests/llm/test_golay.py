@@ -73,8 +73,10 @@ def test_components(spark):
 @pytest.mark.parametrize("small", [32, 2])
 def test_as_pair_by_pair(spark, make_docs, odd_texts, tables, small, monkeypatch):
     monkeypatch.setattr(golay, "SMALL", small)
-    if small == 2:
+    if small == 2:  # texts in slices, and nearly all runs of keys dealt out in blocks
         monkeypatch.setattr(golay, "SLICE", 50)
+        monkeypatch.setattr(golay, "RUN", 10)
+        monkeypatch.setattr(golay, "SAMPLED", 1)
     draw = random.Random(5)
     base = [f"w{draw.randrange(50)}" for _ in range(900)]
     near = []
@@ -142,6 +144,9 @@ def families(draw, each, copies, changed, own, words=300):
 def test_stage_compares_across_families(spark, make_docs, block, monkeypatch):
     monkeypatch.setattr(golay, "BLOCK", block)
     monkeypatch.setattr(golay, "PIVOTS", 3)
+    if block < 1 << 20:
+        monkeypatch.setattr(golay, "RUN", 40)
+        monkeypatch.setattr(golay, "SAMPLED", 1)
     rows = families(random.Random(8), 150, 2, 2, 3)
     assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == least_by_all_pairs(rows)
 
@@ -153,10 +158,10 @@ def test_stage_uses_keys_of_all_equal_fingerprints(spark, make_docs, monkeypatch
     described = golay._described
 
     def same_last(docs):
-        # 0 and 2 have equal last fingerprints; their other keys lead to 1 and to 3.
-        keys = {f"__f{k}": F.when(F.col("doc_id") < 2, 0).otherwise(-1).cast("long") for k in range(golay.KEYED)}
-        last = F.when(F.col("doc_id") % 2 == 0, 0).otherwise(F.col("doc_id")).cast("long")
-        return described(docs).withColumns(keys | {f"__f{golay.KEYED}": last})
+        # 0 and 2 have equal last words; their keys lead to 1 and to 3.
+        last = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).cast("long")
+        keys = F.array(F.when(F.col("id") < 2, 0).otherwise(1).cast("int"))
+        return described(docs).withColumns({"fp": last, "fp2": F.lit(0).cast("long"), "keys": keys})
 
     monkeypatch.setattr(golay, "_described", same_last)
     assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == {0, 2}
@@ -174,3 +179,67 @@ def test_stage_finds_single_pairs_at_the_threshold(spark, make_docs):
     sets = shingle_sets([t for _, t in rows])
     assert all(0.8 <= len(a & b) / len(a | b) < 0.83 for a, b in zip(sets[::2], sets[1::2]))
     assert {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()} == {2 * i for i in range(200)}
+
+
+def margin_keys_plainly(margins):
+    """The keys of one row by trying all pairs of flips in order of their cost."""
+    out = set()
+    for f in range(golay.KEYED):
+        found = []
+        for s in range(2):
+            part = margins[46 * f + 23 * s : 46 * f + 23 * s + 23]
+            word = sum(1 << b for b in range(23) if part[b] > 0)
+            unsure = sorted(range(23), key=lambda b: abs(part[b]))[: golay.UNSURE]
+            best = {}
+            for mask in range(1 << golay.UNSURE):
+                flips = [b for k, b in enumerate(unsure) if mask >> k & 1]
+                index = int(golay.codeword_index(np.array([word ^ sum(1 << b for b in flips)]))[0])
+                best[index] = min(best.get(index, np.inf), sum(part[b] ** 2 for b in flips))
+            found.append(best)
+        pairs = sorted((x + y, i << 12 | j) for i, x in found[0].items() for j, y in found[1].items())
+        out |= {f << 24 | k for _, k in pairs[: golay.PROBES]}
+    return out
+
+
+def test_margin_keys():
+    margins = np.random.default_rng(4).normal(size=(20, golay.SCRAMBLES * 64)).astype(np.float32)
+    for row, keys in zip(margins, golay.margin_keys(margins)):
+        assert set(keys.tolist()) == margin_keys_plainly(row.tolist())
+
+
+def test_keys_find_pairs_at_the_threshold():
+    """Of pairs of sets with a similarity of 0.8 nearly all are candidates."""
+    draw = np.random.default_rng(5)
+    missed = 0
+    for _ in range(1000):
+        both, own = draw.integers(0, 2**64, 320, np.uint64), draw.integers(0, 2**64, (2, 40), np.uint64)
+        margins = np.array([2 * golay.bit_sums(x, golay.SCRAMBLES) - len(x) for x in (np.concatenate([both, o]) for o in own)]).reshape(2, -1)
+        keys = golay.margin_keys(margins)
+        last = golay.as_print(margins[:, -128:].reshape(2, 2, 64)).view(np.uint64)
+        apart = np.bitwise_count(last[0] ^ last[1]).sum()
+        missed += not set(keys[0].tolist()) & set(keys[1].tolist()) or apart > golay.CANDIDATE
+    assert missed <= 8
+
+
+def test_stage_with_clashing_names_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "a", 1)] * 5 + [(1, text + " end", "b", 2), (2, text, "c", 3), (None, "alone here", "d", 4), (None, None, "e", 5), (7, " ", "f", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, c0 int").withColumnRenamed("c0", "keys")
+    kept = golay.stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == ["1", "7", "None"]
+
+
+def test_stage_of_dense_groups(spark, make_docs):
+    """Sixty texts that differ in one to four words each: as many stay as all pairs leave."""
+    for seed, (n, words, least, most) in enumerate([(60, 200, 1, 4), (150, 200, 2, 4)]):
+        draw = random.Random(20 + seed)
+        base = [f"w{draw.randrange(10**6)}" for _ in range(words)]
+        rows = []
+        for d in range(n):
+            text = list(base)
+            for _ in range(draw.randint(least, most)):
+                text[draw.randrange(words)] = f"x{draw.randrange(10**6)}"
+            rows.append((d, " ".join(text)))
+        kept, want = {r["doc_id"] for r in golay.stage(spark, make_docs(rows), "").collect()}, least_by_all_pairs(rows)
+        assert len(kept ^ want) <= 0.02 * n

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vellumflow.llm.common import written
@@ -18,23 +18,28 @@ def components(links: DataFrame) -> DataFrame:
     joins whose skewed partitions Spark can split, so a node with many links is no bottleneck.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    stars = written(links.where("a <> b").select(high.alias("hi"), low.alias("lo")).distinct(), "links")
-    check = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
-    seen = check(stars)
+    stars, seen = _checked(links.where("a <> b").select(high.alias("hi"), low.alias("lo")).distinct())
     while seen[0]:
         both = stars.select("hi", "lo").union(stars.select("lo", "hi")).toDF("node", "other")
         least = both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("m"))
-        large = stars.join(least.withColumnRenamed("node", "lo"), "lo").select("hi", F.col("m").alias("lo")).distinct()
+        large = stars.join(least.withColumnRenamed("node", "lo"), "lo").select("hi", F.col("m").alias("lo"))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        stars = written(small.union(least.select("hi", "m")).distinct(), "links")
-        if (now := check(stars)) == seen:
+        stars, now = _checked(small.union(least.select("hi", "m")).distinct())
+        if now == seen:
             break
         seen = now
     roots = stars.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return stars.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
 
 
+def _checked(stars: DataFrame) -> tuple[DataFrame, tuple]:
+    """stars written, and their number and a sum of their hashes, gathered while they are."""
+    seen = Observation()
+    found = written(stars.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("sum")), "links")
+    return found, (seen.get["n"], seen.get["sum"])
+
+
 def spanning(labels, left, right):
     """Union-find by relabelling over index arrays: merge the classes of left[i] and right[i] for all
     i in place in labels (numpy); gives the positions i whose links joined two classes."""
