@@ -52,10 +52,39 @@ def test_mix_is_what_walking_over_the_words_gives(make_docs, odd_texts):
     for p in plan:
         got = sum(r["t"] or 0 for r in mixed.where(F.col("source").eqNullSafe(F.lit(p["source"]))).select(F.col("mix.taken").alias("t")).collect())
         assert abs(got - p["target"]) <= 32
-    pieces = mixing.block_pieces(mixed)
+    mixed = mixed.withColumns({"row": F.monotonically_increasing_id(), "source": F.coalesce("source", F.lit("~"))}).cache()
+    pieces = mixing.block_pieces(mixed, key="row").cache()
     assert pieces.agg(F.sum(F.col("to_word") - F.col("from_word"))).first()[0] == sum(x[2] for x in expected)
-    seats = {r["shard"]: r["n"] for r in pieces.join(mixed.select("doc_id", "source"), "doc_id").groupBy("shard").agg(F.count_distinct("source", "block", "repeat").alias("n")).collect()}
-    assert set(seats) <= {0, 1, 2, 3}
+    seats = {r["shard"]: r["n"] for r in pieces.join(mixed.select("row", "source"), "row").groupBy("shard").agg(F.count_distinct("source", "block", "repeat").alias("n")).collect()}
+    assert seats == {k: n for k in range(4) if (n := sum(p["quotas"][k] for p in plan))}
+    # A document's shard is that of its first block, in the order of rounds.
+    first = {}
+    for r in sorted(pieces.collect(), key=lambda r: (r["repeat"], r["block"])):
+        first.setdefault(r["row"], r["shard"])
+    assert {r["row"]: r["shard"] for r in mixed.select("row", "mix.shard").collect() if r["shard"] is not None} == first
+    assert mixed.where("(mix.shard IS NULL) <> (mix.taken = 0)").count() == 0
+
+
+def test_query(spark, make_docs, odd_texts, tables):
+    rows = [(d, t, [None, "a", "bb", "B"][i % 4]) for i, (d, t) in enumerate(odd_texts)]
+    out = mixing.op1_sainte_lague_mixing(spark, tables(documents=make_docs(rows)))
+    expected, plan = plain_mix(rows, mixing.BLOCK)
+    assert [f.dataType.simpleString() for f in out.schema][:5] == ["bigint", "bigint", "bigint", "double", "bigint"]
+    got = out.collect()
+    assert sorted([(r["doc_id"], r["size"], r["taken"]) for r in got], key=str) == expected
+    of = {p["source"]: (p["words"], round(p["target"], 6)) for p in plan}
+    where = {}
+    for d, t, s in rows:
+        where.setdefault((d, len((t or "").split())), set()).add(of[s])
+    assert all((r["source_size"], r["target"]) in where[r["doc_id"], r["size"]] for r in got)
+
+
+def test_sources_of_any_size():
+    plan = mixing.plan([("a", 2**45), ("b", 2**41 + 7), ("c", 10)], [5.0, 2.0, 1.0], mixing.BLOCK, 16, 17)
+    for p in plan:
+        taken = sum(p["quotas"]) * p["block"]
+        assert p["blocks"] <= mixing.MOST_BLOCKS and (p["blocks"] + 1) * p["extra"] + p["phase"] < 2**63
+        assert abs(taken - p["target"]) <= 2 * p["block"] and sum(p["quotas"]) == p["rounds"] * p["blocks"] + p["extra"]
 
 
 def test_buckets_do_not_change_the_order(make_docs, odd_texts, monkeypatch):
@@ -65,7 +94,16 @@ def test_buckets_do_not_change_the_order(make_docs, odd_texts, monkeypatch):
     assert {tuple(r) for r in mixing.mix_sources(docs).select("doc_id", "size", "mix.at", "mix.taken").collect()} == one
 
 
-def test_stage_and_empty(spark, make_docs, odd_texts):
-    docs = make_docs([(d, t, "ab"[i % 2]) for i, (d, t) in enumerate(odd_texts)])
-    assert mixing.stage(spark, docs, "").columns == docs.columns
-    assert mixing.stage(spark, docs.limit(0), "").count() == 0
+def test_stage(spark, make_docs, odd_texts):
+    """Words of each source, of whole documents, come to its target but for one document and one block."""
+    docs = make_docs([(d, t, "abc"[i % 3]) for i, (d, t) in enumerate(odd_texts * 3)])
+    mixed = mixing.stage(spark, docs, "")
+    assert mixed.columns == docs.columns and mixing.stage(spark, docs.limit(0), "").count() == 0
+    words = F.sum(mixing.word_count(F.col("text")))
+    sizes = {r["source"]: r["w"] for r in docs.groupBy("source").agg(words.alias("w")).collect()}
+    longest = {r["source"]: r["w"] for r in docs.groupBy("source").agg(F.max(mixing.word_count(F.col("text"))).alias("w")).collect()}
+    goal = dict(zip(sorted(sizes), mixing.targets([sizes[s] for s in sorted(sizes)], [5, 2, 1])))
+    for r in mixed.groupBy("source").agg(words.alias("w")).collect():
+        assert abs(r["w"] - goal[r["source"]]) <= longest[r["source"]] + 2 * mixing.BLOCK
+    odd = docs.withColumnsRenamed({"lang": "__s", "slot": "__part", "score": "c0"})
+    assert mixing.stage(spark, odd, "").columns == odd.columns
