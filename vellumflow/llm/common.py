@@ -15,10 +15,13 @@ _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset
-    (a single machine), a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset on a
+    single machine, a temporary one. On a cluster it must be set, or executors would not see each
+    other's files."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="vellumflow-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -43,6 +46,13 @@ def drop_written(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, made longer until no column of df has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,14 +6,15 @@ Only DataFrame expressions; nothing runs in Python on the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import table
+from vellumflow.llm.common import table, written
 
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 5
 ROWS_PER_BUCKET = 65_536
+VALUES_PER_RANGE = 65_536
 BROADCAST_ROWS = 1_000_000
 
 
@@ -57,57 +58,82 @@ def curve_index(cells: list[Column], bits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda at: at["index"])
 
 
-def _ordinal(df: DataFrame, name: str) -> Column:
-    """A number that orders as the column does; strings by their first seven bytes."""
-    if dict(df.dtypes)[name] == "string":
-        head = F.substring(F.col(f"`{name}`").cast("binary"), 1, 7)
-        return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long")
-    return F.col(f"`{name}`").cast("double")
-
-
 def _count_reached(bounds: list):
     """How many bounds a value reaches; as a lambda, so that the value is worked out only once."""
     return lambda value: sum(((value >= F.lit(b)).cast("int") for b in bounds), F.lit(0))
 
 
-def cells(df: DataFrame, dimensions: tuple[str, ...], bits: int) -> list[Column]:
-    """Each dimension cut at its 2**bits quantiles over all rows; null falls in the first cell."""
-    at = [i / (1 << bits) for i in range(1, 1 << bits)]
-    row = df.agg(*(F.percentile_approx(_ordinal(df, d), at, 100_000).alias(f"q{i}") for i, d in enumerate(dimensions))).first()
+def string_bounds(df: DataFrame, name: str, parts: int) -> list[str]:
+    """The quantiles i / parts of a string column over all rows, 0 < i < parts, in the order of whole
+    strings, each once: the least value that such a share of the rows does not exceed.
+
+    Distinct values are counted, sorted in ranges of about VALUES_PER_RANGE, and summed up range by
+    range, so that no task holds more, however many values there are."""
+    counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+    seen = Observation()
+    counts = written(counts.observe(seen, F.count("*").alias("values"), F.sum("n").alias("rows")), "values")
+    values, rows = seen.get["values"], seen.get["rows"]
+    if not values:
+        return []
+    # Written, so that the ranges, which are sampled, are the same wherever they are read.
+    ranges = written(counts.repartitionByRange(values // VALUES_PER_RANGE + 1, "value").withColumn("range", F.spark_partition_id()), "ranges")
+    sums = ranges.groupBy("range").agg(F.sum("n").alias("rows"))
+    before = sums.select("range", (F.sum("rows").over(Window.orderBy("range")) - F.col("rows")).alias("before"))
+    upto = F.sum("n").over(Window.partitionBy("range").orderBy("value")) + F.col("before")
+    ranked = ranges.join(before, "range").select("value", upto.alias("upto"))
+    found = ranked.agg(*(F.min(F.when(F.col("upto") * parts >= i * rows, F.col("value"))).alias(f"q{i}") for i in range(1, parts))).first()
+    return sorted(set(found))
+
+
+def cells(df: DataFrame, dimensions: tuple[str, ...], bits: int) -> tuple[list[Column], int]:
+    """Each dimension cut at its 2**bits quantiles over all rows, and the number of rows. Strings are
+    ordered as whole strings, other columns as doubles; null falls in the first cell."""
+    parts, kinds = 1 << bits, dict(df.dtypes)
+    at = [i / parts for i in range(1, parts)]
+    value = {d: F.col(f"`{d}`") if kinds[d] == "string" else F.col(f"`{d}`").cast("double") for d in dimensions}
+    numbers = [F.percentile_approx(value[d], at, 100_000).alias(f"q{i}") for i, d in enumerate(dimensions) if kinds[d] != "string"]
+    row = df.agg(F.count("*").alias("rows"), *numbers).first()
     cut = []
     for i, d in enumerate(dimensions):
-        bounds = sorted(set(row[i] or []))
-        cut.append(F.coalesce(F.transform(F.array(_ordinal(df, d)), _count_reached(bounds))[0], F.lit(0)))
-    return cut
+        bounds = string_bounds(df.select(value[d].alias("value")), "value", parts) if kinds[d] == "string" else sorted(set(row[f"q{i}"] or []))
+        cut.append(F.coalesce(F.transform(F.array(value[d]), _count_reached(bounds))[0], F.lit(0)))
+    return cut, row["rows"]
 
 
-def hilbert_shards(df: DataFrame, n_shards: int, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS, tie: str = "doc_id") -> DataFrame:
+def hilbert_shards(df: DataFrame, n_shards: int, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS, tie: str = "doc_id", narrow: bool = False) -> DataFrame:
     """df with `shard` (0 to n_shards - 1) and `slot` (gapless from 0 in each shard), rows in curve
     order, counts of the shards at most one apart.
 
     Row numbers come from counts: at most 2**(bits * dimensions) curve cells are counted, a cell of
     more than ROWS_PER_BUCKET rows is dealt by the hash of `tie` into buckets of about that size, and
-    only within a bucket are rows sorted. A hot cell thus never meets in one task. Rows of equal `tie`
-    take neighbouring slots in any order. Null dimensions fall in the first cell, a null `tie` sorts
-    first; empty input gives no rows; columns named shard or slot are replaced.
+    only within a bucket are rows sorted. A hot cell thus never meets in one task. Where rows are
+    `narrow` they are written once with their cells; else the cells are worked out where rows are read.
+
+    Rows of equal `tie` take neighbouring slots in any order. Null dimensions fall in the first cell, a
+    null `tie` sorts first; texts, however long, are not looked at; empty input gives no rows; columns
+    named shard or slot are replaced, all others stay, as columns are renamed inside.
     """
-    spark = df.sparkSession
-    total = df.count()
-    on_curve = df.withColumn("__cell", curve_index(cells(df, dimensions, bits), bits))
+    names = [c for c in df.columns if c not in ("shard", "slot")]
+    inner = {c: f"c{i}" for i, c in enumerate(names)}
+    df = df.select(*(F.col(f"`{c}`").alias(i) for c, i in inner.items()))
+    tie, cut = inner[tie], tuple(inner[d] for d in dimensions)
+    found, total = cells(df, cut, bits)
+    on_curve = df.withColumn("cell", curve_index(found, bits))
+    if narrow:
+        on_curve = written(on_curve, "cells")
     # One row per cell, so 2**15 rows at the most.
-    buckets = F.broadcast(on_curve.groupBy("__cell").agg(F.ceil(F.count("*") / ROWS_PER_BUCKET).alias("__n")))
-    dealt = on_curve.join(buckets, "__cell").withColumn("__part", F.pmod(F.xxhash64(F.col(f"`{tie}`")), "__n"))
-    counts = dealt.groupBy("__cell", "__part").agg(F.count("*").alias("__rows"))
-    before = counts.select("__cell", "__part", (F.sum("__rows").over(Window.orderBy("__cell", "__part")) - F.col("__rows")).alias("__before"))
-    place = F.row_number().over(Window.partitionBy("__cell", "__part", "__before").orderBy(F.col(f"`{tie}`"))) - 1 + F.col("__before")
+    buckets = F.broadcast(on_curve.groupBy("cell").agg(F.ceil(F.count("*") / ROWS_PER_BUCKET).alias("n")))
+    dealt = on_curve.join(buckets, "cell").withColumn("part", F.pmod(F.xxhash64(F.col(tie)), "n"))
+    counts = dealt.groupBy("cell", "part").agg(F.count("*").alias("rows"))
+    before = counts.select("cell", "part", (F.sum("rows").over(Window.orderBy("cell", "part")) - F.col("rows")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("cell", "part", "before").orderBy(F.col(tie))) - 1 + F.col("before")
     # One row per cell and per ROWS_PER_BUCKET rows of the input: sent to all while that is little.
     small = (1 << bits * len(dimensions)) + total // ROWS_PER_BUCKET <= BROADCAST_ROWS
     total = max(total, 1)
-    placed = dealt.join(F.broadcast(before) if small else before, ["__cell", "__part"]).withColumn("__place", place.cast("long"))
-    shard = F.expr(f"__place * {n_shards}L div {total}L").cast("int")
-    first = F.expr(f"(__shard * {total}L + {n_shards - 1}L) div {n_shards}L")
-    out = placed.withColumn("__shard", shard).withColumn("slot", F.col("__place") - first).withColumn("shard", F.col("__shard"))
-    return out.drop("__cell", "__part", "__n", "__before", "__place", "__shard")
+    placed = dealt.join(F.broadcast(before) if small else before, ["cell", "part"]).withColumn("place", place.cast("long"))
+    placed = placed.withColumn("shard", F.expr(f"place * {n_shards}L div {total}L").cast("int"))
+    first = F.expr(f"(shard * {total}L + {n_shards - 1}L) div {n_shards}L")
+    return placed.select(*(F.col(i).alias(c) for c, i in inner.items()), (F.col("place") - first).alias("slot"), "shard")
 
 
 def op7_hilbert_sharding(spark, sf_dir: str) -> DataFrame:
@@ -116,10 +142,11 @@ def op7_hilbert_sharding(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", "source", "lang", "n_chars", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    out = hilbert_shards(rows, 16)
+    out = hilbert_shards(rows, 16, narrow=True)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: the documents with their shard and slot."""
+    """Last pipeline stage: the documents with their shard and slot, nulls, empty and repeated rows as
+    hilbert_shards() has them."""
     return hilbert_shards(docs, 16)
