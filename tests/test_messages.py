@@ -12,10 +12,10 @@ def parsed(spark, status, body):
 
 def test_parse_response(spark):
     reply = lambda *parts: json.dumps({"candidates": [{"content": {"parts": [{"text": p} for p in parts]}}]})
-    assert parsed(spark, 200, reply("ok-1", "ok-2")) == ("ok-1\nok-2", None)
+    assert parsed(spark, 200, reply("one", "two")) == ("one\ntwo", None)
     assert parsed(spark, 200, reply("a", " \n", "b")) == ("a\nb", None)
-    assert parsed(spark, 200, '{"candidates": []}') == (None, "no candidates in response")
-    assert parsed(spark, 200, "{}") == (None, "no candidates in response")
+    assert parsed(spark, 200, '{"candidates": []}') == (None, messages.NO_CANDIDATES)
+    assert parsed(spark, 200, "{}") == (None, messages.NO_CANDIDATES)
     assert parsed(spark, 200, '{"error": {"message": "quota"}}') == (None, "quota")
     assert parsed(spark, 429, '{"error": {"message": "quota"}}') == (None, "HTTP 429: quota")
     assert parsed(spark, 500, " oops ") == (None, "HTTP 500: oops")

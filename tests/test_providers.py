@@ -20,7 +20,7 @@ def test_retry():
 
     ask = providers.Retry(call, ("a", "b", "c"), 2, 7.0, pauses.append)
     assert ask({}) == "ok" and calls == ["a", "a", "b", "b", "c", "c"] and pauses == [7.0] * 5
-    with pytest.raises(RuntimeError, match="model b attempt 1/1: empty response"):
+    with pytest.raises(RuntimeError, match="model b attempt 1/1: blank answer"):
         providers.Retry(lambda m, r: " ", ("a", "b"), 1, 0.0, pauses.append)({})
 
 

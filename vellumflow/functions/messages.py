@@ -14,6 +14,9 @@ MARKER = "\n\nOCR TEXT FOLLOWS:\n\n"
 NO_TEXT = "[This page contains little or no OCR text. Describe relevant content from the image in clear narration.]"
 DEFAULT_PROMPT = "You are a PhD-level technical narrator. Integrate commentary derived from the page image into the OCR text, producing a coherent narration for text-to-speech. Maintain technical accuracy, describe figures/code/tables as natural prose inserted near the relevant context, avoid markdown, and output continuous paragraphs."
 
+#: What a reply without any answer is reported as.
+NO_CANDIDATES = "reply holds no candidate"
+
 
 def encode_payload(content: Column) -> Column:
     """Base64 in one line; needs unbroken_base64()."""
@@ -52,7 +55,7 @@ def parse_response(status: Column, body: Column) -> Column:
         F.when(~ok, F.concat(F.lit("HTTP "), status.cast("string"), F.lit(": "), F.coalesce(told, trim_space(F.coalesce(body, F.lit(""))))))
         .when(broken, F.lit("undecodable response"))
         .when(told.isNotNull(), told)
-        .when(F.coalesce(F.size(reply["candidates"]), F.lit(0)) <= 0, F.lit("no candidates in response"))
+        .when(F.coalesce(F.size(reply["candidates"]), F.lit(0)) <= 0, F.lit(NO_CANDIDATES))
     )
     parts = F.transform(F.coalesce(F.get(reply["candidates"], F.lit(0))["content"]["parts"], F.array().cast("array<struct<text:string>>")), lambda p: F.coalesce(p["text"], F.lit("")))
     text = F.array_join(F.filter(parts, lambda p: trim_space(p) != ""), "\n")

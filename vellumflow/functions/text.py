@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 SPACES = "[\\t\\n\\f\\r ]"
 _WORD = "[0-9A-Za-z_]"
+# Patterns begin with plain letters, and look around only where these are found.
 BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 #: Unicode White_Space.
 WHITE_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -36,15 +37,15 @@ def normalize_chars(c: Column) -> Column:
 
 
 def strip_preprint(c: Column) -> Column:
-    return F.regexp_replace(c, f"{BOUNDARY}(?iu:preprints?){BOUNDARY}['’]*", "")
+    return F.regexp_replace(c, f"[pP](?<!{_WORD}[pP])(?iu:reprints?){BOUNDARY}['’]*", "")
 
 
 def strip_diacritics_notice(c: Column) -> Column:
-    return F.regexp_replace(c, f"{BOUNDARY}(?iu:detected){SPACES}+[0-9]+{SPACES}+(?iu:diacritics){BOUNDARY}", "")
+    return F.regexp_replace(c, f"[dD](?<!{_WORD}[dD])(?iu:etected){SPACES}+[0-9]+{SPACES}+(?iu:diacritics){BOUNDARY}", "")
 
 
 def strip_no_best_words(c: Column) -> Column:
-    return F.regexp_replace(c, f"(?iu:no){SPACES}+(?iu:best){SPACES}+(?iu:words)!+", "")
+    return F.regexp_replace(c, f"[nN](?iu:o){SPACES}+(?iu:best){SPACES}+(?iu:words)!+", "")
 
 
 def strip_artifacts(c: Column) -> Column:

@@ -138,13 +138,13 @@ def build_prompt(spark, sf_dir):
 
 
 def build_request(spark, sf_dir):
-    """The request read back: role, text, media type, data and settings."""
+    """The request read back: role, text, media type, data and all settings."""
     messages.unbroken_base64(spark)
     made = messages.build_request(messages.build_prompt(F.col("text"), "Narrate."), F.lit("image/png"), messages.encode_payload(F.col("base").cast("binary")))
     rows = _pages(spark, sf_dir).select("doc_id", made.alias("r"))
     at = lambda path: F.get_json_object("r", f"$.{path}")
     part = "contents[0].parts"
-    return rows.select("doc_id", at("contents[0].role").alias("role"), at(f"{part}[0].text").alias("text"), at(f"{part}[1].inlineData.mimeType").alias("mime"), at(f"{part}[1].inlineData.data").alias("data"), at("generationConfig.topK").cast("int").alias("top_k"))
+    return rows.select("doc_id", at("contents[0].role").alias("role"), at(f"{part}[0].text").alias("text"), at(f"{part}[1].inlineData.mimeType").alias("mime"), at(f"{part}[1].inlineData.data").alias("data"), at("generationConfig.topK").cast("int").alias("top_k"), at("generationConfig.temperature").cast("double").alias("temperature"), at("generationConfig.topP").cast("double").alias("top_p"), at("generationConfig.maxOutputTokens").cast("int").alias("max_tokens"))
 
 
 def _responses(spark, sf_dir):
@@ -222,7 +222,10 @@ def concat_audio(spark, sf_dir):
 
 
 def encode_books(spark, sf_dir):
-    return stages.encode(_spoken(spark, sf_dir), providers.fake_encode).select("book", F.length("mp3").cast("long").alias("n_bytes"), "error")
+    """Bytes of samples of each book, encoded and decoded again: those of its text, at twice the rate and depth."""
+    coded = stages.encode(_spoken(spark, sf_dir), providers.fake_encode).withColumnRenamed("error", "failed")
+    read = providers.run(coded, lambda: providers.fake_decode, ["book", "failed"], "wav", "binary")
+    return read.select("book", (F.length("wav") - 44).cast("long").alias("n_bytes"), F.coalesce("failed", "error").alias("error"))
 
 
 def _shared(spark) -> str:
@@ -304,6 +307,7 @@ def _sql_chunks(rows: str, result: str = "SELECT book, chunk_no, chunk, sha256(c
 {result}"""
 
 
+_TOLD = "n AS (SELECT CAST(conv_id AS VARCHAR) AS book, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn, text) FILTER (text <> ''), '') AS text FROM conversations GROUP BY conv_id)"
 _ORDER = "row_number() OVER (PARTITION BY book ORDER BY (n IS NULL), n, lower(base), base)"
 _URL_NAME = "regexp_extract(url, '([^/]*)$', 1) || CASE WHEN page_id % 2 = 0 THEN '.PDF' ELSE '.txt' END"
 _PROMPT = lambda x: f"'Narrate.' || {_quote(messages.MARKER)} || CASE WHEN {_trim(x)} = '' THEN {_quote(messages.NO_TEXT)} ELSE {_trim(x)} END"
@@ -331,14 +335,19 @@ ORACLE_SQL = {
     "mime_type": "SELECT page_id, CASE page_id % 6 WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/jpeg' WHEN 3 THEN 'image/webp' ELSE 'image/png' END AS mime FROM pages",
     "encode_payload": "SELECT page_id, base64(encode(html)) AS data FROM pages",
     "build_prompt": f"WITH {_P} SELECT doc_id, {_PROMPT('text')} AS prompt FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN ' ' ELSE text END AS text FROM p)",
-    "build_request": f"WITH {_P} SELECT doc_id, 'user' AS role, {_PROMPT('text')} AS text, 'image/png' AS mime, base64(encode(base)) AS data, 40 AS top_k FROM p",
-    "parse_response": f"SELECT conv_id, turn, CASE WHEN turn % 5 IN (0, 4) THEN array_to_string(list_filter([role, '  ', text], lambda x: {_trim('x')} <> ''), chr(10)) END AS text, CASE turn % 5 WHEN 1 THEN 'no candidates in response' WHEN 2 THEN 'HTTP 429: quota' WHEN 3 THEN 'HTTP 502: not json' END AS error FROM conversations",
+    "build_request": f"WITH {_P} SELECT doc_id, 'user' AS role, {_PROMPT('text')} AS text, 'image/png' AS mime, base64(encode(base)) AS data, 40 AS top_k, CAST(0.1 AS DOUBLE) AS temperature, CAST(0.95 AS DOUBLE) AS top_p, 8192 AS max_tokens FROM p",
+    "parse_response": f"SELECT conv_id, turn, CASE WHEN turn % 5 IN (0, 4) THEN array_to_string(list_filter([role, '  ', text], lambda x: {_trim('x')} <> ''), chr(10)) END AS text, CASE turn % 5 WHEN 1 THEN '{messages.NO_CANDIDATES}' WHEN 2 THEN 'HTTP 429: quota' WHEN 3 THEN 'HTTP 502: not json' END AS error FROM conversations",
     "blank_filter": "SELECT doc_id, CASE WHEN doc_id % 4 > 1 THEN 'blank detector exit code ' || (doc_id % 4) END AS error FROM documents WHERE doc_id % 4 <> 0",
     "error_rollup": f"WITH {_P}, {_IM} SELECT book, count(*) AS n_rows, count(*) FILTER (toxic = 1) AS n_errors, bool_or(coalesce(toxic, 0) = 1) AS any_error FROM im GROUP BY book",
     "whole_groups": f"WITH {_P}, {_IM} SELECT book, base FROM im WHERE book NOT IN (SELECT book FROM im WHERE toxic = 1 AND doc_id % 2 = 0)",
     "page_numbers": f"WITH {_P}, {_NAMED} SELECT book, base, n AS page_number FROM ordered",
     "page_counts": "SELECT conv_id, turn, CASE WHEN turn % 3 <> 0 AND turn > 0 THEN CAST(turn AS INT) END AS pages FROM conversations",
     "fake_ocr": f"WITH {_P}, {_IM}, w AS (SELECT book, base, text FROM p WHERE NOT EXISTS (SELECT 1 FROM im WHERE im.book = p.book AND im.base = p.base AND quality > 0)) SELECT book, base, CASE WHEN {_sql_clean('text')} = '' THEN text ELSE {_sql_clean('text')} END AS text, CAST(NULL AS VARCHAR) AS error FROM w",
+    "retry_fallback": f"WITH {_P}, {_IM}, o AS (SELECT p.book, p.base, CAST(row_number() OVER (PARTITION BY p.book ORDER BY p.doc_id) AS INT) AS doc_ord FROM p JOIN im ON p.book = im.book AND p.base = im.base) SELECT book, base, doc_ord, CASE doc_ord % 3 WHEN 1 THEN '[standard] ' || base WHEN 2 THEN '[light] ' || base END AS text, CASE WHEN doc_ord % 3 = 0 THEN 'RuntimeError: model large attempt 3/3: no answer' END AS error FROM o",
+    "resample_pcm": _sql_chunks(_TOLD, "SELECT book, chunk_no, 2 * strlen(chunk) AS before, 8 * strlen(chunk) AS after, CAST(NULL AS VARCHAR) AS error FROM g"),
+    "concat_audio": _sql_chunks(_TOLD, "SELECT book, CAST(sum(2 * strlen(chunk)) AS BIGINT) AS n_bytes FROM g GROUP BY book"),
+    "encode_books": _sql_chunks(_TOLD, "SELECT book, CAST(sum(8 * strlen(chunk)) AS BIGINT) AS n_bytes, CAST(NULL AS VARCHAR) AS error FROM g GROUP BY book"),
+    "listed_files": "SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet' AS file_name",
     "resume_stream": f"SELECT doc_id, CASE WHEN {_sql_clean('text')} = '' THEN text ELSE {_sql_clean('text')} END AS text FROM documents",
 }
 

@@ -17,6 +17,7 @@ from vellumflow.config import Config
 from vellumflow.operators import assemble
 from vellumflow.plans import stages
 
+NAMED = 20  # books that a warning names at the most
 RECORD = "stage string, rows long, errors long, seconds double"
 
 
@@ -67,10 +68,19 @@ def books_to_audio(run: Run, books: DataFrame, cfg: Config, providers: dict[str,
     spark = run.spark
     images = run.store("png", stages.render(books, cfg, providers["count"], providers["draw"], providers["ink"])).where("error IS NULL").drop("error")
     none = spark.createDataFrame([], "book string, base string, length long")
-    texts = run.store("text", stages.recognise(images, none, providers["ocr"])).where("error IS NULL").drop("error")
-    told = run.store("final_text", stages.augment(texts, images, providers["ask"], prompt or cfg.prompts.extract_text.prompt.strip(), limit))
+    texts = run.store("text", stages.recognise(images, none, providers["ocr"], cfg.settings.workers and cfg.ocr_workers(1))).where("error IS NULL").drop("error")
+    told = run.store("final_text", stages.augment(texts, images, providers["ask"], prompt or cfg.prompts.extract_text.prompt.strip(), limit, cfg.settings.workers))
     narrations = run.store("final_complete", stages.narrate(told))
-    return texts_to_audio(run, narrations, providers)
+    return texts_to_audio(run, with_text(run, books, narrations), providers)
+
+
+def with_text(run: Run, books: DataFrame, narrations: DataFrame) -> DataFrame:
+    """Narrations of the books; books without one are left out, with a warning that names some of them."""
+    missing = books.select("book").distinct().join(narrations, "book", "left_anti")
+    named = [r["book"] for r in missing.orderBy("book").limit(NAMED).collect()]
+    if named:
+        run.log.warning("no complete text for %d books: %s", missing.count(), ", ".join(map(str, named)))
+    return narrations.join(books.select("book"), "book", "left_semi")
 
 
 def merged(run: Run, pages: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def render(books: DataFrame, cfg: Config, count: Callable, draw: Callable, ink:
     blank ones dropped. A page whose blankness cannot be told stays."""
     sized = providers.run(books, lambda: count, ["book", "pdf_path"], "pages", "int").where("pages > 0")
     jobs = pages.page_jobs(sized.drop("error"))
-    drawn = providers.run(jobs, lambda: draw, ["book", "file_name"], "content", "binary").withColumn("base", base_name(F.col("file_name")))
+    drawn = providers.run(jobs, lambda: draw, ["book", "file_name"], "content", "binary", cfg.settings.workers).withColumn("base", base_name(F.col("file_name")))
     if not cfg.settings.skip_blank_pages:
         return drawn.select("book", "base", "file_name", "content", "error")
     rated = providers.run(drawn.select("book", "base", "file_name", "content", F.col("error").alias("failed")), lambda: ink, ["book", "base", "file_name", "content", "failed"], "ink", "double")
@@ -28,19 +28,19 @@ def render(books: DataFrame, cfg: Config, count: Callable, draw: Callable, ink:
     return kept.select("book", "base", "file_name", "content", F.col("failed").alias("error"))
 
 
-def recognise(images: DataFrame, done: DataFrame, ocr: Callable) -> DataFrame:
+def recognise(images: DataFrame, done: DataFrame, ocr: Callable, workers: int = 0) -> DataFrame:
     """(book, base, text, error) of (book, base, content) without an output in done (book, base,
     length). The anti-join stands before the provider: nothing is pushed below it."""
-    read = providers.run(pages.pending(images, done, pages.KEYS), lambda: ocr, pages.KEYS)
+    read = providers.run(pages.pending(images, done, pages.KEYS), lambda: ocr, pages.KEYS, workers=workers)
     return read.withColumn("text", clean_or_raw(F.col("text")))
 
 
-def augment(texts: DataFrame, images: DataFrame, ask: Callable, prompt: str = "", limit: int = 0) -> DataFrame:
+def augment(texts: DataFrame, images: DataFrame, ask: Callable, prompt: str = "", limit: int = 0, workers: int = 0) -> DataFrame:
     """(book, base, doc_ord, text, error) of pages that have both a text and an image, in document order;
     the limit per book applies before the model is asked."""
     found = pages.in_order(pages.page_pairs(texts, images), limit)
     asked = found.select("book", "base", "doc_ord", build_prompt(F.col("text"), prompt).alias("prompt"), "content")
-    return providers.run(asked, lambda: ask, ["book", "base", "doc_ord"])
+    return providers.run(asked, lambda: ask, ["book", "base", "doc_ord"], workers=workers)
 
 
 def narrate(augmented: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ class Retry:
                     out = self.call(model, row)
                     if out and out.strip():
                         return out
-                    raise Blank("empty response from model")
+                    raise Blank("blank answer")
                 except Exception as e:
                     last = RuntimeError(f"model {model} attempt {attempt}/{self.attempts}: {e}")
                 self.sleep(self.pause_s)
@@ -96,9 +96,12 @@ def api_key(variable: str) -> str:
     return key
 
 
-def run(rows: DataFrame, make: Callable[[], Provider], keys: list[str], value: str = "text", kind: str = "string") -> DataFrame:
-    """keys, `value` and `error` of each row. make() is called once per task: clients are made there."""
+def run(rows: DataFrame, make: Callable[[], Provider], keys: list[str], value: str = "text", kind: str = "string", workers: int = 0) -> DataFrame:
+    """keys, `value` and `error` of each row. make() is called once per task: clients are made there.
+    Rows are dealt evenly to `workers` tasks, so that no more calls run at a time; 0 leaves them as they lie."""
     types = dict(rows.dtypes)
+    if workers > 0:
+        rows = rows.repartition(workers)
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = make()
@@ -147,3 +150,9 @@ def fake_encode(row: dict) -> bytes:
     import zlib
 
     return zlib.compress(bytes(row["wav"]))
+
+
+def fake_decode(row: dict) -> bytes:
+    import zlib
+
+    return zlib.decompress(bytes(row["mp3"]))
