@@ -10,11 +10,12 @@ bytes before it and WINDOW bytes from it on.
    passage costs at most one record per task.
 2. Where one gram has several contexts their bytes are fetched, one for each different context.
 3. These are sorted, forwards from the anchor and backwards from it: multikey quicksort, a word of
-   bytes at a time, to a shallow depth, then blind tries for the groups that still agree. The common
-   prefixes of neighbours give classes of equal windows; in each all but the first are repeats.
+   eight bytes as a letter, to a shallow depth, then blind tries for the groups that still agree. The
+   common prefixes of neighbours give classes of equal windows; in each all but the first are repeats.
 4. The spans of a document are merged and cut out.
 
-Texts and records travel as compressed Arrow batches, one row for each task and bucket.
+Records travel as plain packed bytes, those that a task has for one bucket in one row, texts as
+compressed Arrow batches likewise: a row costs the same few bytes however many tasks and buckets there are.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +39,22 @@ SLICE = 1 << 20
 MARGIN = 2 * WINDOW + 56
 HELD = 1 << 20  # anchors that a task settles at a time
 BUCKET_BYTES = 8 << 20
+ROWS_AT_ONCE = 4096
 ODD = np.uint64(0x9E3779B97F4A7C15)
 FIRST = -(2**63)
 ROW = "bucket int, kind int, blob binary"
+SPANS, ANCHORS, WANTED, TEXTS, CONTEXTS = range(5)
+#: What a record of each kind holds, byte by byte.
+RECORDS = {
+    SPANS: np.dtype([("doc", "<i8"), ("version", "<i8"), ("low", "<i8"), ("size", "<i4")]),
+    ANCHORS: np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("place", "<i8"), ("right", "u1")]),
+    WANTED: np.dtype([("gram", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("place", "<i8")]),
+    CONTEXTS: np.dtype([("gram", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("place", "<i8"), ("right", "u1"), ("around", "u1", (REACH + WINDOW,))]),
+}
+
+
+def from_blob(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all().combine_chunks()
 
 
 def to_blob(**columns) -> bytes:
@@ -50,19 +65,32 @@ def to_blob(**columns) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def from_blobs(blobs: list[bytes]) -> pa.Table | None:
-    found = [pa.ipc.open_stream(b).read_all() for b in blobs]
-    return pa.concat_tables(found).combine_chunks() if found else None
-
-
 def rows_of(bucket: np.ndarray, kind: int, **columns):
-    """Records dealt to their buckets, one blob for each bucket."""
+    """Records dealt to their buckets, a row for each bucket."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    runs = [r for r in np.split(order, cuts) if len(r)]
-    if runs:
-        blobs = [to_blob(**{k: v[r] for k, v in columns.items()}) for r in runs]
-        yield pa.RecordBatch.from_arrays([pa.array([bucket[r[0]] for r in runs], pa.int32()), pa.array([kind] * len(runs), pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "kind", "blob"])
+    bucket = bucket[order]
+    packed = np.empty(len(order), RECORDS[kind])
+    for name, values in columns.items():
+        packed[name] = values[order]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(order)]])
+    size = packed.itemsize
+    for first in range(0, len(starts) - 1, ROWS_AT_ONCE):
+        cut = starts[first : first + ROWS_AT_ONCE + 1]
+        ends = ((cut - cut[0]) * size).astype(np.int32)
+        blobs = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(ends), pa.py_buffer(packed[cut[0] : cut[-1]].tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), pa.array(np.full(len(cut) - 1, kind), pa.int32()), blobs], ["bucket", "kind", "blob"])
+
+
+def records(group: pa.Table, kind: int) -> np.ndarray:
+    """All records of a kind in a group of rows."""
+    rows = group.filter(pc.equal(group.column("kind"), kind)).column("blob")
+    parts = []
+    for chunk in rows.chunks:
+        data, ends = utf8(chunk)
+        parts.append(data[ends[0] : ends[-1]] if len(chunk) else data[:0])
+    return np.concatenate([np.zeros(0, np.uint8), *parts]).view(RECORDS[kind])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -144,7 +172,7 @@ def settle(gram, context, doc, version, place, right):
 def _spans(doc, version, place, right, n_buckets: int):
     """Whole contexts as spans to remove."""
     low = place - np.minimum(place, REACH)
-    yield from rows_of(document_bucket(doc, version, n_buckets), 0, doc=doc, version=version, low=low.astype(np.int64), size=(place - low + right).astype(np.int32))
+    yield from rows_of(document_bucket(doc, version, n_buckets), SPANS, doc=doc, version=version, low=low, size=place - low + right)
 
 
 def _pieces(text: np.ndarray):
@@ -171,7 +199,7 @@ def scan(batches, n_buckets: int):
         again = order[~first]
         yield from _spans(doc[again], version[again], place[again], right[again], n_buckets)
         keep = np.sort(order[first])  # in reading order, which packs best
-        yield from rows_of((gram[keep] % np.uint64(n_buckets)).astype(np.int32), 1, gram=gram[keep], context=context[keep], doc=doc[keep], version=version[keep], place=place[keep].astype(np.int32), right=right[keep].astype(np.uint8))
+        yield from rows_of((gram[keep] % np.uint64(n_buckets)).astype(np.int32), ANCHORS, gram=gram[keep], context=context[keep], doc=doc[keep], version=version[keep], place=place[keep], right=right[keep])
 
     for batch in batches:
         data, ends = utf8(batch.column("text"))
@@ -205,22 +233,20 @@ def _records(waiting: list[tuple], docs: np.ndarray, versions: np.ndarray) -> tu
 
 
 def compare(group: pa.Table, n_buckets: int) -> list[pa.RecordBatch]:
-    """Step 1, where a gram's anchors meet: spans (kind 0) and wanted contexts (kind 2)."""
-    kinds = np.array(group.column("kind").to_pylist())
-    blobs = group.column("blob").to_pylist()
-    out = [pa.RecordBatch.from_arrays([group.column(c).combine_chunks().filter(pa.array(kinds == 0)) for c in ("bucket", "kind", "blob")], ["bucket", "kind", "blob"])]
-    found = from_blobs([b for b, k in zip(blobs, kinds) if k == 1])
-    if found is None:
+    """Step 1, where a gram's anchors meet: spans and wanted contexts."""
+    out = group.filter(pc.equal(group.column("kind"), SPANS)).select(["bucket", "kind", "blob"]).to_batches()
+    found = records(group, ANCHORS)
+    if not len(found):
         return out
-    columns = [found.column(c).to_numpy() for c in ("gram", "context", "doc", "version", "place", "right")]
+    columns = [found[c] for c in ("gram", "context", "doc", "version", "place", "right")]
     gram, _, doc, version, place, right = columns
     order, first, new, new_gram = settle(*columns)
     again = order[~first]
-    out += _spans(doc[again], version[again], place[again].astype(np.int64), right[again], n_buckets)
+    out += _spans(doc[again], version[again], place[again], right[again], n_buckets)
     which = new_gram.cumsum() - 1
     several = np.bincount(which, new)[which] > 1
     ask = order[several & first]
-    out += rows_of(document_bucket(doc[ask], version[ask], n_buckets), 2, doc=doc[ask], version=version[ask], place=place[ask], gram=gram[ask])
+    out += rows_of(document_bucket(doc[ask], version[ask], n_buckets), WANTED, doc=doc[ask], version=version[ask], place=place[ask], gram=gram[ask])
     return out
 
 
@@ -235,7 +261,7 @@ def pack_texts(batches, n_buckets: int):
             if len(run):
                 taken = pa.array(run)
                 blob = to_blob(doc=doc[run], version=version[run], unnamed=batch.column("unnamed").take(taken), text=text.take(taken))
-                yield pa.RecordBatch.from_arrays([pa.array([bucket[run[0]]], pa.int32()), pa.array([3], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "kind", "blob"])
+                yield pa.RecordBatch.from_arrays([pa.array([bucket[run[0]]], pa.int32()), pa.array([TEXTS], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "kind", "blob"])
 
 
 def _lookup(doc, version, docs, versions) -> tuple[np.ndarray, np.ndarray]:
@@ -247,16 +273,15 @@ def _lookup(doc, version, docs, versions) -> tuple[np.ndarray, np.ndarray]:
 
 def contexts(texts: pa.Table, asked: pa.Table, n_buckets: int) -> list[pa.RecordBatch]:
     """Step 2: the bytes around wanted anchors, by bucket of the gram."""
-    wanted = from_blobs(asked.column("blob").to_pylist())
-    if wanted is None:
-        return []
-    out = []
-    doc, version, place, gram = (wanted.column(c).to_numpy() for c in ("doc", "version", "place", "gram"))
+    wanted, out = records(asked, WANTED), []
+    if not len(wanted):
+        return out
+    doc, version, place, gram = (wanted[c] for c in ("doc", "version", "place", "gram"))
     order = np.lexsort((place, version, doc))
     doc, version, place, gram = doc[order], version[order], place[order], gram[order]
     seen = set()
     for blob in texts.column("blob").to_pylist():
-        held = from_blobs([blob])
+        held = from_blob(blob)
         data, ends = utf8(held.column("text"))
         own, versions = held.column("doc").to_numpy(), held.column("version").to_numpy()
         # Documents side by side with room for contexts around them.
@@ -280,12 +305,7 @@ def contexts(texts: pa.Table, asked: pa.Table, n_buckets: int) -> list[pa.Record
         for at in range(0, len(take), 1 << 16):
             t, s, n = take[at : at + (1 << 16)], start[at : at + (1 << 16)], length[at : at + (1 << 16)]
             around = np.lib.stride_tricks.sliding_window_view(room, REACH + WINDOW)[s + place[t] - REACH]
-            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(REACH + WINDOW), len(t), [None, pa.py_buffer(np.ascontiguousarray(around))])
-            bucket = (gram[t] % np.uint64(n_buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            for run in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                blob = to_blob(gram=gram[t][run], doc=doc[t][run], version=version[t][run], place=place[t][run], right=np.minimum(WINDOW, n[run] - place[t][run]).astype(np.uint8), around=packed.take(pa.array(run)))
-                out.append(pa.RecordBatch.from_arrays([pa.array([bucket[run[0]]], pa.int32()), pa.array([4], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "kind", "blob"]))
+            out += rows_of((gram[t] % np.uint64(n_buckets)).astype(np.int32), CONTEXTS, gram=gram[t], doc=doc[t], version=version[t], place=place[t], right=np.minimum(WINDOW, n - place[t]), around=around)
     return out
 
 
@@ -328,6 +348,33 @@ def blind_trie(keys: list[int], bits: int) -> tuple[list[int], list[int]]:
     return order, common
 
 
+def multikey_quicksort(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows of words by the first `depth` of them, and a number for each place of that order
+    that is the same for rows that agree so far. All groups are parted side by side: each by a pivot of
+    its own into rows with a smaller, the same and a larger word; those with the same go on to the next."""
+    n = len(words)
+    order, group = np.arange(n), np.zeros(n, np.int64)
+    at = np.zeros(n, np.int64)  # the word that a place's group is parted by
+    left = np.arange(n) if n > 1 else np.zeros(0, np.int64)  # places in groups not yet done
+    while len(left):
+        key = words[order[left], at[left]]
+        starts = np.flatnonzero(np.concatenate([[True], group[left][1:] != group[left][:-1]]))
+        sizes = np.diff(np.append(starts, len(left)))
+        three = np.sort(np.stack([key[starts], key[starts + sizes // 2], key[starts + sizes - 1]]), axis=0)
+        pivot = np.repeat(three[1], sizes)
+        side = np.where(key < pivot, 0, np.where(key == pivot, 1, 2))
+        own = np.repeat(np.arange(len(starts)), sizes) * 3 + side
+        by = np.argsort(own, kind="stable")
+        order[left], own, side = order[left][by], own[by], side[by]
+        at[left] = at[left][by] + (side == 1)
+        # A group's number is that of its first place.
+        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        sizes = np.diff(np.append(heads, len(left)))
+        group[left] = np.repeat(left[heads], sizes)
+        left = left[(np.repeat(sizes, sizes) > 1) & (at[left] < depth)]
+    return order, group
+
+
 def deep_shallow(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of a byte matrix, and the bytes that each has in common with the one before it
     in that order."""
@@ -335,36 +382,23 @@ def deep_shallow(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
     padded[:, :width] = strings
     words = padded.view(">u8").astype(np.uint64)
-    order, common = np.arange(n), np.zeros(n, np.int64)
-    where = np.arange(n)  # places of the order that are still in groups
-    group = np.zeros(n, np.int64)
-    for depth in range(min(SHALLOW, words.shape[1])):
-        if not len(where):
-            break
-        key = words[order[where], depth]
-        by = np.lexsort((key, group))
-        order[where], key = order[where][by], key[by]
-        inside = np.concatenate([[False], group[1:] == group[:-1]])
-        parted = inside & np.concatenate([[False], key[1:] != key[:-1]])
-        x = key[1:] ^ key[:-1]
-        same = np.concatenate([[0], _leading_bytes(x)])
-        common[where[parted]] = depth * 8 + same[parted]
-        group = np.cumsum(~inside | parted)
-        sizes = np.bincount(group)
-        left = sizes[group] > 1
-        where, group = where[left], group[left]
-    if len(where):
+    order, group = multikey_quicksort(words, min(SHALLOW, words.shape[1]))
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if n else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(starts, n))
+    if padded.shape[1] > SHALLOW * 8 and (sizes > 1).any():
         tail = np.ascontiguousarray(padded[:, SHALLOW * 8 :])
-        bits = tail.shape[1] * 8
-        raw = tail.tobytes()
         step = tail.shape[1]
-        cuts = np.flatnonzero(np.diff(group)) + 1
-        for run in np.split(where, cuts):
-            rows = order[run]
+        raw = tail.tobytes()
+        for a, k in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+            rows = order[a : a + k].copy()
             keys = [int.from_bytes(raw[i * step : i * step + step], "big") for i in rows.tolist()]
-            by, shared = blind_trie(keys, bits)
-            order[run] = rows[by]
-            common[run[1:]] = SHALLOW * 8 + np.array(shared[1:]) // 8
+            order[a : a + k] = rows[blind_trie(keys, step * 8)[0]]
+    common = np.zeros(n, np.int64)
+    same = np.ones(max(0, n - 1), bool)  # neighbours that agree so far
+    for k in range(words.shape[1]):
+        x = words[order[1:], k] ^ words[order[:-1], k]
+        common[1:] += np.where(same, _leading_bytes(x), 0)
+        same &= x == 0
     return order, np.minimum(common, width)
 
 
@@ -381,7 +415,7 @@ def repeats(gram: np.ndarray, doc: np.ndarray, place: np.ndarray, right: np.ndar
     first = np.lexsort((place, doc))
     gram, doc, place, right, around = gram[first], doc[first], place[first].astype(np.int64), right[first].astype(np.int64), around[first]
     n = len(gram)
-    head = gram.astype(">u8").view(np.uint8).reshape(n, 8)
+    head = np.ascontiguousarray(gram.astype(">u8")).view(np.uint8).reshape(n, 8)
     sides = [deep_shallow(np.concatenate([head, side], axis=1)) for side in (around[:, REACH:], around[:, :REACH][:, ::-1])]
 
     def classes(side: int, length: int) -> np.ndarray:
@@ -413,21 +447,20 @@ def repeats(gram: np.ndarray, doc: np.ndarray, place: np.ndarray, right: np.ndar
 
 def sort_contexts(group: pa.Table, n_buckets: int) -> list[pa.RecordBatch]:
     """Step 3 for the grams of a bucket."""
-    found = from_blobs(group.column("blob").to_pylist())
-    gram, doc, version, place, right = (found.column(c).to_numpy() for c in ("gram", "doc", "version", "place", "right"))
-    around = np.frombuffer(found.column("around").combine_chunks().cast(pa.binary()).buffers()[2], np.uint8).reshape(-1, REACH + WINDOW)
+    found = records(group, CONTEXTS)
+    gram, doc, version, place, right, around = (found[c] for c in ("gram", "doc", "version", "place", "right", "around"))
     record, low, size = repeats(gram, doc, place, right, around)
-    return [*rows_of(document_bucket(doc[record], version[record], n_buckets), 0, doc=doc[record], version=version[record], low=low, size=size.astype(np.int32))]
+    return [*rows_of(document_bucket(doc[record], version[record], n_buckets), SPANS, doc=doc[record], version=version[record], low=low, size=size)]
 
 
 def cut(texts: pa.Table, spans: pa.Table):
     """Step 4: (doc_id, n_bytes, kept bytes, spans) of each document of a bucket."""
-    found = from_blobs(spans.column("blob").to_pylist())
-    doc, version, low, size = (found.column(c).to_numpy() for c in ("doc", "version", "low", "size")) if found else [np.zeros(0, np.int64)] * 4
+    found = records(spans, SPANS)
+    doc, version, low, size = (found[c] for c in ("doc", "version", "low", "size"))
     order = np.lexsort((low, version, doc))
     doc, version, low, high = doc[order], version[order], low[order], (low + size)[order]
     for blob in texts.column("blob").to_pylist():
-        held = from_blobs([blob])
+        held = from_blob(blob)
         data, ends = utf8(held.column("text"))
         own, versions = held.column("doc").to_numpy(), held.column("version").to_numpy()
         unnamed = held.column("unnamed").to_pylist()
@@ -462,10 +495,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # Spans found while reading only pass through: they go by the bucket they will be wanted in.
     met = written(anchors_.groupBy("bucket").applyInArrow(lambda group: _table(compare(group, n)), ROW), "met")
     texts = named.mapInArrow(lambda batches: pack_texts(batches, n), ROW)
-    asked = met.where("kind = 2")
+    asked = met.where(F.col("kind") == WANTED)
     fetched = texts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(lambda a, b: _table(contexts(a, b, n)), ROW)
     spans = fetched.groupBy("bucket").applyInArrow(lambda group: _table(sort_contexts(group, n)), ROW)
-    return texts, met.where("kind = 0").union(written(spans, "spans")), n
+    return texts, met.where(F.col("kind") == SPANS).union(written(spans, "spans")), n
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
@@ -473,8 +506,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     by a window that also starts earlier is removed. Earlier is a smaller doc_id, null before all, or in
     the same document a smaller start.
 
-    Null texts are empty; texts under WINDOW bytes are kept; rows of equal doc_id count as one document,
-    so that equal rows do not remove each other; no rows give no rows. kept is null unless with_text."""
+    Null texts are empty; texts under WINDOW bytes are kept; very long texts are read whole, a slice at a
+    time; rows of equal doc_id count as one document, so that equal rows do not remove each other; no rows
+    give no rows. Other columns, whatever their names, are not looked at. kept is null unless with_text."""
     texts, spans, _ = repeated_spans(docs, key, text)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.binary()]
