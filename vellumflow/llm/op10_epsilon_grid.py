@@ -123,6 +123,25 @@ def join(a: Interval, b: Interval | None, n_a: np.ndarray, n_b: np.ndarray | Non
     return (counts_a if same else np.concatenate([counts_a, counts_b])).astype(np.int64), np.concatenate(lefts), np.concatenate(rights)
 
 
+def _meeting(placed: DataFrame, directions: int, reach: float) -> DataFrame:
+    """(i, j, pair) of intervals i <= j whose boxes lie within the squared distance `reach`.
+
+    On the first direction intervals are met by the cells of width sqrt(reach) that they lie in, each pair
+    in one cell only; the other directions then decide. No pair passes through the driver."""
+    sides = [f(F.col("places")[k]).alias(f"{name}{k}") for k in range(directions) for name, f in (("low", F.min), ("high", F.max))]
+    boxes = written(placed.groupBy("run").agg(*sides), "boxes")
+    width = math.sqrt(reach)
+    first, last = F.floor(F.col("low0") / width), F.floor(F.col("high0") / width)
+    a, b = (boxes.select(*(F.col(c).alias(f"{c}{t}") for c in boxes.columns)) for t in ("_a", "_b"))
+    a = a.join(boxes.select(F.col("run").alias("run_a"), F.explode(F.sequence(first, last)).alias("cell"), first.alias("from_a")), "run_a")
+    b = b.join(boxes.select(F.col("run").alias("run_b"), F.explode(F.sequence(first - 1, last + 1)).alias("cell"), (first - 1).alias("from_b")), "run_b")
+    met = a.join(b, "cell").where("run_a <= run_b AND cell = greatest(from_a, from_b)")
+    gap = lambda k: F.greatest(F.lit(0.0), F.col(f"low{k}_a") - F.col(f"high{k}_b"), F.col(f"low{k}_b") - F.col(f"high{k}_a"))
+    apart_ = sum((gap(k) * gap(k) for k in range(1, directions)), gap(0) * gap(0))
+    near = met.where(apart_ <= reach).select(F.col("run_a").cast("long").alias("i"), F.col("run_b").cast("long").alias("j"))
+    return near.withColumn("pair", F.expr("i * 2147483647L + j"))
+
+
 def _join_length(classes: DataFrame, width: int, least: float) -> DataFrame:
     """(a, b, links) for distinct vectors of one length: rows with b are links, the others sums."""
     spark = classes.sparkSession
@@ -145,20 +164,8 @@ def _join_length(classes: DataFrame, width: int, least: float) -> DataFrame:
     runs = written(placed.repartitionByRange(wanted, "cells", "cid").sortWithinPartitions("cells", "cid").withColumn("run", F.spark_partition_id()), "sequence")
     last = runs.agg(F.max("run")).first()[0] + 1
     placed = runs.withColumn("run", F.expr(f"run * {min(wanted, last)}L div {last}L"))
-    m = basis.shape[1]
-    # One row per interval of about INTERVAL vectors.
-    boxes = placed.groupBy("run").agg(*(f(F.col("places")[i]).alias(f"{k}{i}") for i in range(m) for k, f in (("low", F.min), ("high", F.max)))).orderBy("run").collect()
-    low, high = (np.array([[r[f"{k}{i}"] for i in range(m)] for r in boxes]).reshape(-1, m) for k in ("low", "high"))
-    names = [r["run"] for r in boxes]
-    meets = []
-    for i, run in enumerate(names):
-        near = np.flatnonzero(apart(low[i], high[i], low[i:], high[i:]) <= 2 - 2 * least + SLACK) + i
-        for j in near.tolist():
-            meets += [(run, len(meets), i, j, 0)] if i == j else []
-            if i != j:
-                pair = len(meets)
-                meets += [(run, pair, i, j, 0), (names[j], pair, i, j, 1)]
-    partners = spark.createDataFrame([(r, p, s) for r, p, _, _, s in meets], "run long, pair long, side int")
+    pairs = written(_meeting(placed, basis.shape[1], 2 - 2 * least + SLACK), "pairs")
+    both = pairs.select(F.col("i").alias("run"), "pair", F.lit(0).alias("side")).union(pairs.where("i < j").select("j", "pair", F.lit(1)))
 
     def meet(group: pa.Table) -> pa.Table:
         group = group.sort_by([("side", "ascending"), ("cells", "ascending"), ("cid", "ascending")])
@@ -172,8 +179,8 @@ def _join_length(classes: DataFrame, width: int, least: float) -> DataFrame:
         none = pa.nulls(int(some.sum()), pa.int64())
         return pa.table({"a": pa.concat_arrays([pa.array(ids[some]), pa.array(ids[left])]), "b": pa.concat_arrays([none, pa.array(ids[right])]), "links": pa.concat_arrays([pa.array(sums[some]), pa.nulls(len(left), pa.int64())])})
 
-    # A row per pair of intervals that may meet: sent to all while that is little.
-    met = placed.select("run", "cid", "n", "v", "cells").join(F.broadcast(partners) if len(meets) <= BROADCAST_ROWS else partners, "run")
+    # A row or two for each pair of intervals that may meet: sent to all while that is little.
+    met = placed.select("run", "cid", "n", "v", "cells").join(F.broadcast(both) if 2 * pairs.count() <= BROADCAST_ROWS else both, "run")
     return met.groupBy("pair").applyInArrow(meet, "a long, b long, links long")
 
 
@@ -183,7 +190,8 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, key: str = "vec_id",
     Equal vectors are one class with a count, so copies never meet as pairs; dense groups give counts
     and connecting links only. Vectors that are null, zero or hold null or non-finite components, and
     rows with a null vec_id, link with nothing; vectors of different length do not link. Repeated
-    vec_ids are rows of their own; no rows give no rows. kept marks the least vec_id of a component.
+    vec_ids are rows of their own; no rows give no rows; vectors are compared whole, however long. Other
+    columns, whatever their names, are not looked at. kept marks the least vec_id of a component.
     """
     spark = vectors.sparkSession
     v = F.col(f"`{vector}`").cast("array<double>")
