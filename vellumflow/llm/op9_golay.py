@@ -144,14 +144,16 @@ def _run_links(keys: np.ndarray, prints: list[np.ndarray], distance: int = DISTA
         yield small[close], small[close + step]
     for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
         run, labels = [x[start : start + size] for x in prints], np.arange(size)
-        for a in range(0, size, 512):
-            own = np.unique(labels[a : a + 512])
+        for a in range(0, size, 256):
+            own = np.unique(labels[a : a + 256])
             # What is connected already need not be compared.
             others = a + np.flatnonzero(labels[a:] != own[0]) if len(own) == 1 else np.arange(a, size)
-            for b in range(0, len(others), 4096):
-                at = others[b : b + 4096]
-                left, right = np.nonzero(near([x[a : a + 512, None] for x in run], [x[None, at] for x in run], distance))
+            for b in range(0, len(others), 1024):
+                at = others[b : b + 1024]
+                left, right = np.nonzero(near([x[a : a + 256, None] for x in run], [x[None, at] for x in run], distance))
                 left, right = left + a, at[right]
+                apart = labels[left] != labels[right]
+                left, right = left[apart], right[apart]
                 joined = spanning(labels, left, right)
                 yield start + left[joined], start + right[joined]
 
