@@ -7,7 +7,9 @@ their occurrences located by walking to sampled suffix positions, and the spans
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from itertools import repeat
 
 import numpy as np
@@ -21,6 +23,7 @@ WINDOW = 10
 SHARD_BYTES = 4 << 20
 SHARD_WORDS = 1 << 20
 PHRASE_BYTES = 32 << 20
+GATHER = 32 << 20
 SAMPLE = 8
 # Bytes of words stay, A-Z fold to a-z, all others part words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -40,7 +43,7 @@ class Phrases:
                 windows.setdefault(tuple(symbols[i : i + width]), set()).add(at)
         self.lengths = np.array([len(w) for w in windows], np.int64)
         self.longest = int(self.lengths.max(initial=0))
-        self.shortest = int(self.lengths.min(initial=0))
+        self.shortest = int(self.lengths.min()) if windows else 0
         #: Right-aligned, 0 where a window is shorter.
         self.windows = np.zeros((len(windows), self.longest), np.int64)
         for row, w in zip(self.windows, windows):
@@ -202,20 +205,36 @@ def scan(texts: list[bytes], phrases: Phrases) -> list[tuple[int, np.ndarray, se
     return out
 
 
+_held: dict[tuple[int, int], Phrases] = {}
+
+
+def _packed(items: list[tuple[str, bytes]], width: int) -> bytes:
+    return zlib.compress(pickle.dumps((items, width)))
+
+
+def _unpacked(block: bytes) -> Phrases:
+    return Phrases(*pickle.loads(zlib.decompress(block)))
+
+
 class Scanner:
-    """Scans batches against all blocks of a benchmark, of which one is held at a time."""
+    """Scans texts against all blocks of a benchmark. A single block's phrases are kept by the worker
+    from task to task; of several blocks one at a time is unpacked, for GATHER bytes of texts."""
 
     def __init__(self, blocks: list) -> None:
         self.blocks = blocks
-        self.only = Phrases(*blocks[0].value) if len(blocks) == 1 else None if blocks else Phrases([], 1)
 
     def _phrases(self):
-        if self.only is not None:
-            yield self.only
-            return
-        for block in self.blocks:
-            yield Phrases(*block.value)
-            vars(block).pop("_value", None)
+        if len(self.blocks) > 1:
+            yield from (_unpacked(b.value) for b in self.blocks)
+        elif self.blocks:
+            block = self.blocks[0].value
+            key = zlib.crc32(block), len(block)
+            if key not in _held:
+                _held.clear()
+                _held[key] = _unpacked(block)
+            yield _held[key]
+        else:
+            yield Phrases([], 1)
 
     def __call__(self, texts: list[bytes]) -> list[tuple[int, np.ndarray, set[str]]]:
         total: list[tuple[int, np.ndarray, set[str]]] = []
@@ -224,10 +243,30 @@ class Scanner:
             total = [(n, h | g, s | t) for (n, h, s), (_, g, t) in zip(total, found)] if total else found
         return total
 
+    def batches(self, batches, at: int):
+        """(batch, its texts, what was found in them) of every batch with the texts in column `at`."""
+        waiting: list[tuple] = []
+        size = 0
+        for batch in batches:
+            texts = document_bytes(batch.column(at))
+            waiting.append((batch, texts))
+            size += sum(map(len, texts))
+            if len(self.blocks) < 2 or size >= GATHER:
+                yield from self._found(waiting)
+                waiting, size = [], 0
+        yield from self._found(waiting)
+
+    def _found(self, waiting: list[tuple]):
+        found = self([x for _, texts in waiting for x in texts])
+        first = 0
+        for batch, texts in waiting:
+            yield batch, texts, found[first : first + len(texts)]
+            first += len(texts)
+
 
 def phrase_blocks(benchmark: DataFrame, width: int, limit: int = PHRASE_BYTES) -> list:
-    """Broadcasts of the items' windows, each of about `limit` bytes of benchmark text, however large
-    the benchmark is: the driver and a task hold one block at a time. Null texts have no windows; a
+    """Broadcasts of the items, compressed, each of about `limit` bytes of benchmark text, however large
+    the benchmark is: the driver and a task unpack one block at a time. Null texts have no windows; a
     null item_id reads as the empty string."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
@@ -235,7 +274,7 @@ def phrase_blocks(benchmark: DataFrame, width: int, limit: int = PHRASE_BYTES) -
     n = total // limit + 1
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     blocks = ([(r["item_id"], r["text"].encode()) for r in dealt.where(F.col("block") == k).collect()] for k in range(n))
-    return [spark.sparkContext.broadcast((rows, width)) for rows in blocks if rows]
+    return [spark.sparkContext.broadcast(_packed(rows, width)) for rows in blocks if rows]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -244,13 +283,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 
     Texts are lower-cased (A-Z); words are runs of a-z, 0-9 and non-ASCII characters. Windows are
     `width` words of an item, or all words of a shorter one. Null and empty texts have no words and no
-    hits; an empty benchmark hits nothing; repeated rows are answered each."""
+    hits; an empty benchmark hits nothing; very long texts are indexed whole, in stretches that overlap by
+    a window; items of equal windows are all found; repeated rows are answered each; no rows give no rows.
+    Other columns, whatever their names, are not looked at."""
     blocks = phrase_blocks(benchmark, width)
 
     def answer(batches):
-        scanner = Scanner(blocks)
-        for batch in batches:
-            rows = scanner(document_bytes(batch.column("text")))
+        for batch, _, rows in Scanner(blocks).batches(batches, 1):
             spans = [np.flatnonzero(np.diff(np.concatenate([[0], h.view(np.int8), [0]]))).reshape(-1, 2).tolist() if h.any() else [] for _, h, _ in rows]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([n for n, _, _ in rows], pa.int64()), pa.array([int(h.sum()) for _, h, _ in rows], pa.int64()), pa.array([sorted(s) for _, _, s in rows], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["doc_id", "n_words", "n_hit", "items", "spans"])
 
@@ -277,16 +316,15 @@ def op4_fm_index_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without the merged spans of benchmark windows. A document of
-    which no word is left goes; n_chars of a cut text counts what is left; all else stays as it is."""
+    which no word is left goes; n_chars of a cut text counts what is left; all else stays as it is, null and
+    empty texts and columns of any name included; repeated rows are cut alike; no documents give none."""
     blocks = phrase_blocks(table(spark, sf_dir, "benchmark"), WINDOW)
     at = docs.columns.index("text")
     size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(batches):
-        scanner = Scanner(blocks)
-        for batch in batches:
-            texts = document_bytes(batch.column(at))
-            hits = [h for _, h, _ in scanner(texts)]
+        for batch, texts, rows in Scanner(blocks).batches(batches, at):
+            hits = [h for _, h, _ in rows]
             touched = [i for i, h in enumerate(hits) if h.any()]
             if touched:
                 columns = list(batch.columns)
