@@ -42,6 +42,13 @@ def test_empty_and_invalid_texts(spark, tmp_path):
     assert assemble.concat_terminated(files.texts(spark, at, "b")).first()["text"].startswith("hid\n\nfirst\n\n\n\n")
 
 
+def test_many_hidden_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "HIDDEN_BYTES", 10)
+    at = make(tmp_path, **{f"_{i}.txt": b"abcd" * i for i in range(9)} | {".h.txt": b"dot", "p.txt": b"plain"})
+    rows = {r["file_name"]: r["text"] for r in files.texts(spark, at, "b").collect()}
+    assert rows == {f"_{i}.txt": "abcd" * i for i in range(9)} | {".h.txt": "dot", "p.txt": "plain"}
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("b1", "a.txt", "x"), ("b2", "a.txt", "yy")], "book string, file_name string, text string")
     done = sinks.export_files(rows, str(tmp_path / "out")).collect()

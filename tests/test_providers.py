@@ -47,7 +47,7 @@ def test_command():
         providers.Command(lambda row: ["sleep", "5"], timeout_s=0.1)({})
 
 
-def test_stages(spark):
+def test_stages(spark, tmp_path):
     cfg = Config(settings=Settings(skip_blank_pages=True), blank_detection=BlankDetection())
     books = spark.createDataFrame([("b", "/b.pdf"), ("none", "/n.pdf")], "book string, pdf_path string")
 
@@ -86,6 +86,9 @@ def test_stages(spark):
     assert stages.speak(narrated, stale, providers.fake_speech, by_number=True).count() == 0
     coded = stages.encode(spoken, providers.fake_encode).collect()
     assert len(coded) == 1 and coded[0]["error"] is None
+    (tmp_path / "audio").mkdir()
+    by_file = stages.encode(spoken, lambda row: providers.fake_encode({"wav": open(row["path"], "rb").read()}), str(tmp_path / "audio")).collect()
+    assert providers.fake_decode(by_file[0].asDict()) == providers.fake_decode(coded[0].asDict())
     bad = spoken.selectExpr("book", "chunk_no", "if(chunk_no = 1, cast('x' AS binary), wav) AS wav", "error")
     assert stages.encode(bad, providers.fake_encode).count() == 0
 

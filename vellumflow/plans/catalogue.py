@@ -7,8 +7,6 @@ stand for page images and for finished work.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,18 +226,9 @@ def encode_books(spark, sf_dir):
     return read.select("book", (F.length("wav") - 44).cast("long").alias("n_bytes"), F.coalesce("failed", "error").alias("error"))
 
 
-def _shared(spark) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        import tempfile
-
-        found = tempfile.mkdtemp(prefix="vellumflow-")
-    return f"{found}/{uuid.uuid4().hex}"
-
-
 def resume_stream(spark, sf_dir):
     """The documents taken up by a stream that runs twice; the second run finds nothing new."""
-    at, source = _shared(spark), f"{sf_dir}/documents.parquet"
+    at, source = files.shared_folder(spark), f"{sf_dir}/documents.parquet"
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     for _ in range(2):
         out = process_new(spark, source, schema, lambda d: d.select("doc_id", text.clean_or_raw(F.col("text")).alias("text")), f"{at}/out", f"{at}/log")

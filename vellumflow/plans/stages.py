@@ -57,8 +57,11 @@ def speak(narrations: DataFrame, done: DataFrame, speech: Callable, by_number: b
     return spoken.withColumn("file_name", chunk_file(F.col("chunk_no")))
 
 
-def encode(spoken: DataFrame, encoder: Callable) -> DataFrame:
-    """(book, mp3, error) of books of which no chunk failed: resampled, joined in order, encoded."""
+def encode(spoken: DataFrame, encoder: Callable, folder: str | None = None) -> DataFrame:
+    """(book, mp3, error) of books of which no chunk failed: resampled, joined in order, encoded. A row holds
+    2 GB at the most; books with more audio need a folder that all executors share, in which each is joined
+    in a file, and the encoder gets its `path` in place of `wav`."""
     at_rate = spoken.withColumn("r", audio.resample(F.col("wav"))).select("book", "chunk_no", F.col("r.value").alias("wav"), F.coalesce("error", "r.error").alias("error"))
-    joined = audio.concat_audio(assemble.whole_groups(at_rate, "book"))
+    whole = assemble.whole_groups(at_rate, "book")
+    joined = audio.concat_to_files(whole, folder).select("book", "path") if folder else audio.concat_audio(whole)
     return providers.run(joined, lambda: encoder, ["book"], "mp3", "binary")

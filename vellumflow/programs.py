@@ -110,7 +110,8 @@ def speaker(cfg: Config, timeout_s: float = 600.0) -> Callable[[dict], bytes]:
 
 
 def encoder(timeout_s: float = 3600.0) -> Command:
-    return Command(lambda row: mp3_arguments(), lambda row: bytes(row["wav"]), timeout_s)
+    """Takes a row's `wav`, or the file at its `path`."""
+    return Command(lambda row: mp3_arguments(row.get("path") or "pipe:0"), lambda row: bytes(row.get("wav") or b""), timeout_s)
 
 
 def endpoint(model: str, address: str = ENDPOINT) -> str:

@@ -7,6 +7,8 @@ read by executors and joined on, so that an empty file has an empty text.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,22 +53,37 @@ def _literal(path: str) -> str:
 HIDDEN_BYTES = 64 << 20
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path where driver and executors both see it: below spark.checkpoint.dir, or, where
+    that is unset on a single machine, below a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="vellumflow-")
+    return f"{found}/{uuid.uuid4().hex}"
+
+
 def _hidden(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Contents of files whose names Spark's readers pass over, read on the driver: HIDDEN_BYTES in all
-    at the most, else ValueError."""
+    """Contents of files whose names Spark's readers pass over, read on the driver. Beyond HIDDEN_BYTES they
+    are put into a table of the shared folder, about as many bytes at a time, so that few are held."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    rows = files.where(F.col("file_name").rlike("^[_.]") & (F.col("length") > 0)).select("path", "length").collect()
-    if sum(r["length"] for r in rows) > HIDDEN_BYTES:
-        raise ValueError(f"files with names that begin with _ or . hold more than {HIDDEN_BYTES} bytes; rename them")
-    read = []
-    for r in rows:
+    named, kind = files.where(F.col("file_name").rlike("^[_.]") & (F.col("length") > 0)).select("path", "length"), "path string, content binary"
+    read, size, table = [], 0, None
+    for r in named.toLocalIterator():
         path = jvm.org.apache.hadoop.fs.Path(r["path"])
         stream = path.getFileSystem(conf).open(path)
         try:
             read.append((r["path"], bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))))
         finally:
             stream.close()
-    return spark.createDataFrame(read, "path string, content binary")
+        size += r["length"]
+        if size >= HIDDEN_BYTES:
+            table = table or shared_folder(spark)
+            spark.createDataFrame(read, kind).write.mode("append").parquet(table)
+            read, size = [], 0
+    rest = spark.createDataFrame(read, kind)
+    return rest if table is None else rest.union(spark.read.schema(kind).parquet(table))
 
 
 def contents(spark: SparkSession, files: DataFrame) -> DataFrame:
