@@ -1,5 +1,6 @@
 import heapq
 import random
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -56,11 +57,32 @@ def test_files(spark, make_docs, odd_texts, tmp_path):
     rows = [(d, t if t is None else t[:30_000]) for d, t in odd_texts]
     huffman.write_ids(make_docs(rows).repartition(3), open(path, encoding="utf-8").read(), 2, str(tmp_path / "f"))
     out = sorted(huffman.read_ids(spark, str(tmp_path / "f")).collect(), key=lambda r: r["start"])
-    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
-    at = 0
-    for r, (doc_id, text) in zip(out, expected, strict=True):
-        ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
-        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"], bytes(r["ids"])) == (doc_id, at, len(ids), crc32(ids.tobytes()), ids.tobytes())
-        at += len(ids)
+    expected = Counter()
+    for doc_id, text in rows:
+        ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+        expected[doc_id, len(ids) // 4, crc32(ids), ids] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"], bytes(r["ids"])) for r in out) == expected
+    assert [r["start"] for r in out] == np.cumsum([0, *(r["n_tokens"] for r in out[:-1])]).tolist()
+    order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in out]  # documents of one id in any order
+    assert order == sorted(order)
     huffman.write_ids(make_docs([]), open(path, encoding="utf-8").read(), 2, str(tmp_path / "none"))
     assert huffman.read_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_more_ids_than_short_codes():
+    draw = np.random.default_rng(3)
+    counts = draw.integers(1, 50, (1 << 18) + 1000)
+    lengths = huffman.code_lengths(counts)
+    assert lengths.min() > 0 and huffman.LONGEST < lengths.max() <= huffman.longest_code(len(counts)) == 19
+    ids, sizes = draw.integers(0, len(counts), 3000), np.array([1000, 2000])
+    payload, width, marks = huffman.encode(ids, sizes, huffman.canonical(lengths), lengths)
+    assert (huffman.Decoder(lengths).decode(payload, sizes, width, marks) == ids).all()
+
+
+def test_query(spark, make_docs, odd_texts, tables):
+    rows = [(d, t if t is None else t[:3000]) for d, t in odd_texts]
+    plain = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    out = sorted(huffman.op6_huffman_ids(spark, tables(documents=make_docs(rows))).collect(), key=lambda r: r["start"])
+    want = Counter((d, crc32(np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes())) for d, t in rows)
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in out) == want
+    assert out[0]["start"] == 0 and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(out, out[1:]))

@@ -88,22 +88,29 @@ class Encoder:
         return np.frombuffer(self._plain(text) if pieces is None else b"".join(map(self.store.__getitem__, pieces)), self.kind)
 
 
-def encoder_of(definition: str) -> Encoder:
-    """The worker's encoder for a definition. It hangs on the library's module, which outlives a task, so
-    that a worker loads the vocabulary and meets a piece once and not again with every task."""
-    import tokenizers
+_encoders: dict[tuple[int, int], Encoder] = {}
+
 
-    held = vars(tokenizers).setdefault("_vellumflow_encoders", {})
+def encoder_of(definition: str) -> Encoder:
+    """The worker's encoder for a definition; it outlives a task, so that a worker loads the vocabulary and
+    meets a piece once and not again with every task."""
     key = crc32(definition.encode()), len(definition)
-    if key not in held:
-        held.clear()
-        held[key] = Encoder(definition)
-    return held[key]
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(definition)
+    return _encoders[key]
+
+
+def longest_code(used: int) -> int:
+    """Bits that codes of so many ids may have: LONGEST, or as many as they need."""
+    return max(LONGEST, (max(1, used) - 1).bit_length())
 
 
-def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
-    """Lengths (0: unused) of an optimal prefix code with none above `longest`, by package-merge."""
+def code_lengths(counts: np.ndarray, longest: int | None = None) -> np.ndarray:
+    """Lengths (0: unused) of an optimal prefix code with none above `longest`, or else above what
+    longest_code() gives, by package-merge."""
     used = np.flatnonzero(counts)
+    longest = longest or longest_code(len(used))
     out = np.zeros(len(counts), np.uint8)
     if len(used) <= 1:
         out[used] = 1
@@ -137,8 +144,9 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     codes = np.zeros(len(lengths), np.uint64)
     if len(order):
         # Left-aligned, the codes are the running sum of the shares that the shorter codes take.
-        share = np.left_shift(1, LONGEST - lengths[order].astype(np.int64))
-        codes[order] = np.right_shift(share.cumsum() - share, LONGEST - lengths[order].astype(np.int64))
+        longest = int(lengths.max())
+        share = np.left_shift(1, longest - lengths[order].astype(np.int64))
+        codes[order] = np.right_shift(share.cumsum() - share, longest - lengths[order].astype(np.int64))
     return codes
 
 
@@ -164,14 +172,17 @@ def encode(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths: np.n
 
 
 class Decoder:
-    """Looks up the next LONGEST bits: the id they begin with, and its length."""
+    """Looks up as many bits as the longest code has: the id they begin with, and its length."""
 
     def __init__(self, lengths: np.ndarray) -> None:
         order = np.lexsort((np.arange(len(lengths)), lengths))
         order = order[lengths[order] > 0]
-        spans = np.left_shift(1, LONGEST - lengths[order].astype(np.int64))
-        self.symbol = np.zeros(1 << LONGEST, np.uint32)
-        self.length = np.ones(1 << LONGEST, np.uint8)
+        self.longest = int(lengths.max(initial=1))
+        if self.longest > 25:  # a code and its place in a byte fit 32 bits
+            raise ValueError(f"codes of {self.longest} bits: more than 2**25 ids are in use")
+        spans = np.left_shift(1, self.longest - lengths[order].astype(np.int64))
+        self.symbol = np.zeros(1 << self.longest, np.uint32)
+        self.length = np.ones(1 << self.longest, np.uint8)
         self.symbol[: spans.sum()] = np.repeat(order, spans)
         self.length[: spans.sum()] = np.repeat(lengths[order], spans)
 
@@ -191,7 +202,7 @@ class Decoder:
         for step in range(int(sizes[0]) if len(sizes) else 0):
             n = int(np.searchsorted(-sizes, -step, "left"))  # the blocks with more than `step` ids
             now = at[:n]
-            bits = quads[now >> 3] >> (32 - LONGEST - (now & 7)).astype(np.uint32) & np.uint32((1 << LONGEST) - 1)
+            bits = quads[now >> 3] >> (32 - self.longest - (now & 7)).astype(np.uint32) & np.uint32((1 << self.longest) - 1)
             out[step, :n] = self.symbol[bits]
             now += self.length[bits]
         rows = np.empty((len(at), BLOCK), np.uint32)
@@ -226,7 +237,9 @@ def _tokens(docs: DataFrame, definition, end_id: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, TOKEN_TYPES)], TOKEN_NAMES)
                 seq += 1
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id may be many: they are parted by their text, and equal rows by where they were read.
+    keyed = docs.withColumns({"hash": F.xxhash64("text"), "read": F.monotonically_increasing_id()})
+    ordered = keyed.repartitionByRange("doc_id", "hash", "read").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     return ordered.mapInArrow(tokenize, "part int, seq int, doc_ids array<long>, counts array<long>, ids binary, width int")
 
 
@@ -258,9 +271,10 @@ def id_counts(tokens: DataFrame) -> np.ndarray:
 
 def write_ids(docs: DataFrame, definition: str, end_id: int, folder: str) -> None:
     """Encode doc_id, text of docs with a tokenizer's definition, end_id after each document, and write
-    the file set. Null texts are empty; documents of equal id follow each other by text; no documents
-    give empty tables. The ids are written to the shared folder before they are counted and encoded,
-    so that every text is tokenized once."""
+    the file set. Null texts are empty; documents of equal id follow each other by a hash of their text, null
+    ids come first; a very long text is encoded whole, in a segment of its own; no documents give empty
+    tables. Other columns, whatever their names, are not looked at. The ids are written to the shared
+    folder before they are counted and encoded, so that every text is tokenized once."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tokens = written(_tokens(docs, spark.sparkContext.broadcast(definition), end_id), "tokens")
