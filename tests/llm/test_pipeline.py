@@ -1,11 +1,9 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
-from tests_llm_corpus import corpus
+from small_corpus import corpus
 
 
 def test_pipeline(spark, tables):
-    from tests_llm_corpus import corpus
-
     rows, labels, bench = corpus()
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     at = tables(documents=spark.createDataFrame(rows, kind), labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), benchmark=spark.createDataFrame(bench, "item_id long, text string"))

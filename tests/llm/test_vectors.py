@@ -53,3 +53,27 @@ def test_distant_blocks_are_skipped():
     whole = grid.Interval(raw, basis)
     pairs = list(grid.leaf_pairs(whole, whole, 2 - 2 * 0.9 + grid.SLACK, True))
     assert len(pairs) < len(whole.low) ** 2 / 3
+
+
+def test_query_as_its_sql(spark, tables):
+    duckdb = pytest.importorskip("duckdb")
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(6, 8))
+    rows = [(i, (centres[i % 6] + draw.normal(size=8) * 0.2).astype(np.float32).tolist()) for i in range(90)]
+    rows += [(200, rows[0][1]), (201, None), (202, [0.0] * 8), (203, [float("nan")] * 8), (204, [None] * 8), (None, rows[0][1])]
+    at = tables(embeddings=spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    told = duckdb.connect()
+    told.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{at}/embeddings.parquet/*.parquet'")
+    found = grid.op10_epsilon_grid_join(spark, at)
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, told.sql(grid.ORACLE).fetchall()))
+
+
+@pytest.mark.parametrize("reach", [0.2, 1.0])
+def test_meeting_intervals(spark, reach):
+    """The join on cells finds the intervals whose boxes are near, each pair once."""
+    draw = np.random.default_rng(5)
+    rows = [(int(run), (centre + draw.normal(size=3) * 0.2).tolist()) for run, centre in enumerate(draw.normal(size=(40, 3))) for _ in range(4)]
+    boxes = [(np.min(p, axis=0), np.max(p, axis=0)) for p in (np.array([x for r, x in rows if r == run]) for run in range(40))]
+    near = {(i, j) for i in range(40) for j in range(i, 40) if grid.apart(*boxes[i], *boxes[j]) <= reach}
+    found = [(r["i"], r["j"]) for r in grid._meeting(spark.createDataFrame(rows, "run int, places array<double>"), 3, reach).collect()]
+    assert len(found) == len(set(found)) and set(found) == near

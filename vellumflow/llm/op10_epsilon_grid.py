@@ -216,3 +216,25 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, key: str = "vec_id",
 def op10_epsilon_grid_join(spark, sf_dir: str) -> DataFrame:
     """Direct links and component of every vector at cosine 0.9."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs against each other, and links followed to the end: for small tables.
+ORACLE = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT r, vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+  WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.r AS a, b.r AS b FROM u AS a JOIN u AS b ON a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) >= 0.9 * a.size * b.size
+), reach AS (
+  SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+), least AS (
+  SELECT reach.a AS r, min(v.vec_id) AS m FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a
+), n AS (
+  SELECT a AS r, count(*) AS n FROM l GROUP BY a
+)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, coalesce(vec_id <= coalesce(m, vec_id), false) AS kept
+FROM v LEFT JOIN n USING (r) LEFT JOIN least USING (r)
+"""

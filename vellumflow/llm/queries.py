@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellumflow.llm import op4_fm_index
+from vellumflow.llm import op4_fm_index, op10_epsilon_grid
 from vellumflow.llm.op10_epsilon_grid import op10_epsilon_grid_join
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
 from vellumflow.llm.op2_toxicity import op2_ngram_toxicity
@@ -29,4 +29,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_fm_index_decontamination": op4_fm_index.ORACLE,
+    "op10_epsilon_grid_join": op10_epsilon_grid.ORACLE,
 }
