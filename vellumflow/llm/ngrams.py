@@ -25,6 +25,7 @@ RARE = 60
 STEPS = 1024
 SLICE = 1 << 20
 TASKS = 16  # that take the sample apart
+CHUNK = 1024  # n-grams of a text in one row, so that batches of rows are small
 ROWS = 256  # texts whose densities are held at a time
 LEAST_DOCUMENTS = 8
 LEAST_T = 2.0
@@ -156,6 +157,10 @@ class Sample:
     y: np.ndarray
 
 
+PART_NAMES = ["doc_id", "label", "grams", "densities", "sketch", "measures"]
+PART_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+
+
 def _sketch(text: bytes) -> list[int]:
     """The least hashes of the text's runs of four words."""
     from vellumflow.llm.op9_golay import shingle_hashes
@@ -174,20 +179,23 @@ def learnable(docs: DataFrame, labels: DataFrame, label: str, limit: int, featur
     independent evidence. N-grams are chosen by the t statistic of their densities in the two classes."""
 
     def take_apart(batches):
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            parts = [counted(x, signs) for x in texts]
-            blobs = [[g.tobytes() for g, _, _ in parts], [density(t, n).astype(np.uint16).tobytes() for _, t, n in parts]]
-            utf8 = [x.encode("utf-8", "surrogatepass") for x in texts]
-            columns = [pa.array(blobs[0], pa.binary()), pa.array(blobs[1], pa.binary()), pa.array([_sketch(x) for x in utf8], pa.list_(pa.int64())), pa.array([measures(x) for x in utf8], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), *columns], ["doc_id", "label", "grams", "densities", "sketch", "measures"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 16):
+                batch, out = whole.slice(at, 16), []
+                for doc, label, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))):
+                    grams, times, words = counted(text, signs)
+                    values, utf8 = density(times, words).astype(np.uint16), text.encode("utf-8", "surrogatepass")
+                    for k in range(0, max(1, len(grams)), CHUNK):
+                        first = (_sketch(utf8), measures(utf8)) if k == 0 else (None, None)
+                        out.append((doc, label, grams[k : k + CHUNK].tobytes(), values[k : k + CHUNK].tobytes(), *first))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), PART_TYPES)], PART_NAMES)
 
     tasks = max(2, min(TASKS, docs.sparkSession.sparkContext.defaultParallelism))
     rows = labelled_rows(docs, labels, label, limit).select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text").repartition(tasks, "doc_id")
     held = written(rows.mapInArrow(take_apart, "doc_id long, label int, grams binary, densities binary, sketch array<long>, measures array<double>"), "sample")
     seen: set[int] = set()
     kept, y, known = [], [], []
-    for r in sorted(held.select("doc_id", "label", "sketch", "measures").collect(), key=lambda r: r["doc_id"]):
+    for r in sorted(held.where("sketch IS NOT NULL").select("doc_id", "label", "sketch", "measures").collect(), key=lambda r: r["doc_id"]):
         if not r["sketch"] or 2 * sum(h in seen for h in r["sketch"]) < len(r["sketch"]):
             kept.append(r["doc_id"])
             y.append(r["label"] > 0)
