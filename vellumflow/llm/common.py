@@ -37,13 +37,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession) -> None:
-    """Delete every table that written() made in this process; results read from them must be
-    stored before."""
+def tables_written() -> int:
+    """How many tables written() has made in this process and drop_written() has left."""
+    return len(_written)
+
+
+def drop_written(spark: SparkSession, first: int = 0, last: int | None = None) -> None:
+    """Delete the tables that written() made in this process, from the `first` on and before the `last`;
+    results read from them must be stored before."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in _written[first:last]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        _written.remove(name)
 
 
 def unused(df: DataFrame, name: str) -> str:
