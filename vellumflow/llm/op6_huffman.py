@@ -88,17 +88,17 @@ class Encoder:
         return np.frombuffer(self._plain(text) if pieces is None else b"".join(map(self.store.__getitem__, pieces)), self.kind)
 
 
-_encoders: dict[tuple[int, int], Encoder] = {}
-
-
 def encoder_of(definition: str) -> Encoder:
-    """The worker's encoder for a definition; it outlives a task, so that a worker loads the vocabulary and
-    meets a piece once and not again with every task."""
+    """The worker's encoder for a definition. It hangs on the library's module, which outlives a task, so
+    that a worker loads the vocabulary and meets a piece once and not again with every task."""
+    import tokenizers
+
+    held = vars(tokenizers).setdefault("_vellumflow_encoders", {})
     key = crc32(definition.encode()), len(definition)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(definition)
-    return _encoders[key]
+    if key not in held:
+        held.clear()
+        held[key] = Encoder(definition)
+    return held[key]
 
 
 def longest_code(used: int) -> int:
