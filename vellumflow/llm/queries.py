@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from vellumflow.llm import op4_fm_index, op10_epsilon_grid, op11_annulus
+from vellumflow.llm import op4_fm_index, op10_epsilon_grid, op11_annulus, op13_relative_lz
 from vellumflow.llm.op10_epsilon_grid import op10_epsilon_grid_join
 from vellumflow.llm.op11_annulus import op11_annulus_clustering
+from vellumflow.llm.op13_relative_lz import op13_relative_lz_dedup
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
 from vellumflow.llm.op2_toxicity import op2_ngram_toxicity
 from vellumflow.llm.op3_deep_shallow import op3_deep_shallow_dedup
@@ -27,10 +28,12 @@ QUERIES = {
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op9_golay_simhash": op9_golay_simhash,
     "op11_annulus_clustering": op11_annulus_clustering,
+    "op13_relative_lz_dedup": op13_relative_lz_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_fm_index_decontamination": op4_fm_index.ORACLE,
     "op10_epsilon_grid_join": op10_epsilon_grid.ORACLE,
     "op11_annulus_clustering": op11_annulus.ORACLE,
+    "op13_relative_lz_dedup": op13_relative_lz.ORACLE,
 }
