@@ -173,7 +173,7 @@ def assemble(spark: SparkSession, rows: DataFrame, wait: int = WAIT) -> DataFram
             prior = max(prior, known[batch]["day"])
         fed = spark.readStream.schema(FED).option("recursiveFileLookup", "true").parquet(f"{base}/fed")
         own = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("sale_id"), F.lit(buckets)).cast("int"))
-        closings = fed.groupBy(own.alias("own")).applyInPandasWithState(Assembler(wait), CLOSED, "open binary", "append", GroupStateTimeout.NoTimeout)
+        closings = fed.withColumn("own", own).groupBy("own").applyInPandasWithState(Assembler(wait), CLOSED, "open binary", "append", GroupStateTimeout.NoTimeout)
         query = closings.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/closings")
         query.awaitTermination()
     return spark.read.schema(CLOSED).parquet(f"{base}/closings")
@@ -196,7 +196,7 @@ WITH RECURSIVE crc AS (
   SELECT sale_id, shipped_at, CAST(coalesce(floor(100 * amount + 0.5), 0) AS BIGINT) AS cents, {_crc32("sale_id || ':' || coalesce(CAST(line_no AS VARCHAR), '')")} AS h
   FROM (SELECT DISTINCT * FROM sale_lines WHERE sale_id IS NOT NULL), crc
 ), e AS (
-  SELECT sale_id, coalesce({_day("shipped_at")} + h % {LATE}, {FIRST_DAY} + h % {SPREAD}) AS d, 1 AS n, cents, NULL AS total FROM l
+  SELECT sale_id, coalesce({_day("shipped_at")} + h % {LATE}, {FIRST_DAY} + h % {SPREAD}) AS d, 1 AS n, cents, CAST(NULL AS BIGINT) AS total FROM l
   UNION ALL
   SELECT sale_id, coalesce({_day("arrived_at")}, {FIRST_DAY}), 0, 0, CAST(coalesce(floor(100 * total + 0.5), 0) AS BIGINT) FROM sales WHERE sale_id IS NOT NULL
 ), g AS (
@@ -208,7 +208,7 @@ WITH RECURSIVE crc AS (
 ), p AS (
   SELECT list((SELECT max(d) FROM g WHERE g.b < i.b) ORDER BY i.b) AS prior FROM (SELECT unnest(range({BATCHES})) AS b) AS i
 ), v AS (
-  SELECT g.sale_id, d, n, cents, total IS NOT NULL AS has, b, CASE kind WHEN 0 THEN s.total WHEN 1 THEN early ELSE whole END AS due,
+  SELECT g.sale_id, d, n, cents, g.total IS NOT NULL AS has, b, CASE kind WHEN 0 THEN s.total WHEN 1 THEN early ELSE whole END AS due,
     row_number() OVER o AS k, lead(b) OVER o AS following FROM g JOIN s USING (sale_id) WINDOW o AS (PARTITION BY sale_id ORDER BY d)
 ), a AS (
   SELECT sale_id, k, d AS first_day, d AS last_day, n, cents, has, due, b, following, has AND n > 0 AND cents = due AS whole, {_closing("d", "b", "following")} AS closing FROM v, p WHERE k = 1

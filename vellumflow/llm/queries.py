@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from vellumflow.llm import op4_fm_index, op10_epsilon_grid, op11_annulus, op13_relative_lz
+from vellumflow.llm import op4_fm_index, op10_epsilon_grid, op11_annulus, op12_assembly, op13_relative_lz
 from vellumflow.llm.op10_epsilon_grid import op10_epsilon_grid_join
 from vellumflow.llm.op11_annulus import op11_annulus_clustering
+from vellumflow.llm.op12_assembly import op12_sale_assembly
 from vellumflow.llm.op13_relative_lz import op13_relative_lz_dedup
 from vellumflow.llm.op1_mixing import op1_sainte_lague_mixing
 from vellumflow.llm.op2_toxicity import op2_ngram_toxicity
@@ -28,6 +29,7 @@ QUERIES = {
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op9_golay_simhash": op9_golay_simhash,
     "op11_annulus_clustering": op11_annulus_clustering,
+    "op12_sale_assembly": op12_sale_assembly,
     "op13_relative_lz_dedup": op13_relative_lz_dedup,
 }
 
@@ -35,5 +37,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_fm_index_decontamination": op4_fm_index.ORACLE,
     "op10_epsilon_grid_join": op10_epsilon_grid.ORACLE,
     "op11_annulus_clustering": op11_annulus.ORACLE,
+    "op12_sale_assembly": op12_assembly.ORACLE,
     "op13_relative_lz_dedup": op13_relative_lz.ORACLE,
 }
