@@ -29,9 +29,6 @@ def catalogue():
 def test_same_as_sql(spark, db, name):
     found = catalogue().QUERIES[name](spark, str(SF))
     columns = sorted(found.columns)
-    if name not in catalogue().ORACLE_SQL:
-        assert found.count() > 0
-        return
     told = db.sql(catalogue().ORACLE_SQL[name])
     assert sorted(told.columns) == columns
     expected = [dict(zip(told.columns, r)) for r in told.fetchall()]

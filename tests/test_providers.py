@@ -1,4 +1,5 @@
 import struct
+import uuid
 
 import pytest
 
@@ -109,6 +110,82 @@ def test_run(spark, tmp_path):
         runs.books_to_audio(run, books.limit(0), Config(), made)
 
 
+def test_second_run_asks_for_what_is_missing(spark, tmp_path):
+    """No calls for what is stored; failed and empty outputs and changed ones are asked for again."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def noting(name, provider):
+        def call(row):
+            (calls / f"{name}-{uuid.uuid4().hex}").touch()
+            return provider(row)
+
+        return call
+
+    def asked():
+        names = [p.name.split("-")[0] for p in calls.iterdir()]
+        [p.unlink() for p in calls.iterdir()]
+        return names.count("ocr"), names.count("speech")
+
+    def ocr(row, broken):
+        text = bytes(row["content"]).decode()
+        if broken and text.startswith("page 2"):
+            raise OSError("no answer")
+        return "" if broken and text.startswith("page 3") else text
+
+    def go(broken=False, path="/b.pdf"):
+        books = spark.createDataFrame([("b", path)], "book string, pdf_path string")
+        made = {
+            "count": lambda row: 3, "draw": providers.fake_render, "ink": providers.fake_ink_ratio, "ocr": noting("ocr", lambda row: ocr(row, broken)),
+            "ask": providers.Retry(providers.fake_model, pause_s=0.0), "speech": noting("speech", providers.fake_speech), "encode": providers.fake_encode,
+        }
+        run = runs.Run(spark, str(tmp_path / "out"))
+        out = runs.books_to_audio(run, books, Config(), made, "P")
+        return out.where("error IS NULL").count(), {r["stage"]: r["errors"] for r in run.report().collect()}
+
+    assert go(broken=True) == (1, {"png": 0, "text": 1, "final_text": 0, "final_complete": 0, "wav": 0, "mp3": 0})
+    first = asked()
+    assert first[0] == 3
+    assert go()[1]["text"] == 0 and asked()[0] == 2
+    assert go()[0] == 1 and asked() == (0, 0)
+    assert go(path="/c.pdf")[0] == 1 and asked()[0] == 3
+
+
+def test_run_that_broke_off_is_taken_up(spark, tmp_path):
+    work = spark.createDataFrame([("b", i, "h", str(i)) for i in range(4)], "book string, n int, content_hash string, content string")
+    keys, calls = ["book", "n", "content_hash"], tmp_path / "calls"
+    calls.mkdir()
+
+    def provider(row):
+        (calls / uuid.uuid4().hex).touch()
+        return row["content"]
+
+    made = lambda done: providers.run(work.join(done.where("length > 0"), keys, "left_anti"), lambda: provider, keys)
+    run = runs.Run(spark, str(tmp_path / "out"))
+    assert run.resume("t", work, made, keys, "text").count() == 4 and len(list(calls.iterdir())) == 4
+    (tmp_path / "out" / "t").rename(tmp_path / "lost")  # results were made, but not added
+    assert sorted(r["text"] for r in run.resume("t", work, made, keys, "text").collect()) == ["0", "1", "2", "3"]
+    assert len(list(calls.iterdir())) == 4
+    assert run.resume("t", work.where("n < 2"), made, keys, "text").count() == 2
+
+
+def test_failed_books_stay_in_the_result(spark):
+    def count(row):
+        if row["book"] == "bad":
+            raise OSError("broken file")
+        return {"none": None, "empty": 0}.get(row["book"], 2)
+
+    def draw(row):
+        if row["page_no"] == 2:
+            raise OSError("no page")
+        return providers.fake_render(row)
+
+    books = spark.createDataFrame([(b, f"/{b}.pdf") for b in ("good", "bad", "none", "empty")], "book string, pdf_path string").coalesce(1)
+    out = stages.render(books, Config(), count, draw, providers.fake_ink_ratio)
+    found = sorted((r["book"], r["base"] or "", r["content"] is None, r["error"] or "") for r in out.collect())
+    assert found == [("bad", "", True, "OSError: broken file"), ("good", "page_0001", False, ""), ("good", "page_0002", True, "OSError: no page"), ("none", "", True, stages.NO_COUNT)]
+
+
 def test_audio(spark, tmp_path):
     wav = audio.wav(struct.pack("<4h", 0, 100, -100, 32767), 24_000, 16)
     rate, bits, channels, pcm = audio.read_wav(audio.resample_one(wav))

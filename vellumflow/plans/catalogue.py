@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vellumflow import providers
 from vellumflow.functions import messages, names, text
 from vellumflow.operators import assemble, audio, chunking, pages
-from vellumflow.plans import stages
+from vellumflow.plans import runs, stages
 from vellumflow.sources import files
 from vellumflow.streaming.resume import process_new
 
@@ -235,8 +235,27 @@ def resume_stream(spark, sf_dir):
     return out
 
 
-def listed_files(spark, sf_dir):
-    return files.list_files(spark, sf_dir, (".parquet",), recursive=True).select("file_name")
+def _ocr_of_run(number: int):
+    """Says which run it is called in; the first fails at every seventh page."""
+
+    def ocr(row: dict) -> str:
+        if number == 1 and int(row["base"][5:]) % 7 == 0:
+            raise OSError("no answer")
+        return str(number)
+
+    return ocr
+
+
+def run_resumed(spark, sf_dir):
+    """The run that each page's text is from, of two: the second asks for pages that the first failed at
+    and for those that have another image now, every fifth."""
+    named = _pages(spark, sf_dir).select("doc_id", F.coalesce("book", F.lit("")).alias("book"), "base", F.coalesce("text", F.lit("")).alias("text"))
+    folder = files.shared_folder(spark)
+    for number in (1, 2):
+        image = F.when((F.col("doc_id") % 5 == 0) & F.lit(number == 2), F.concat("text", F.lit(" again"))).otherwise(F.col("text"))
+        images = named.select("book", "base", image.cast("binary").alias("content")).withColumn("content_hash", F.sha2("content", 256))
+        out = runs.Run(spark, folder).resume("text", images, lambda done, n=number, i=images: stages.recognise(i, done, _ocr_of_run(n), 0, runs.PAGE), runs.PAGE, "text")
+    return out.select("book", "base", "text", "error")
 
 
 # The same in SQL.
@@ -336,7 +355,7 @@ ORACLE_SQL = {
     "resample_pcm": _sql_chunks(_TOLD, "SELECT book, chunk_no, 2 * strlen(chunk) AS before, 8 * strlen(chunk) AS after, CAST(NULL AS VARCHAR) AS error FROM g"),
     "concat_audio": _sql_chunks(_TOLD, "SELECT book, CAST(sum(2 * strlen(chunk)) AS BIGINT) AS n_bytes FROM g GROUP BY book"),
     "encode_books": _sql_chunks(_TOLD, "SELECT book, CAST(sum(8 * strlen(chunk)) AS BIGINT) AS n_bytes, CAST(NULL AS VARCHAR) AS error FROM g GROUP BY book"),
-    "listed_files": "SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet' AS file_name",
+    "run_resumed": "SELECT coalesce(source, '') AS book, printf('page_%04d', doc_id) AS base, CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 THEN '2' ELSE '1' END AS text, CAST(NULL AS VARCHAR) AS error FROM documents",
     "resume_stream": f"SELECT doc_id, CASE WHEN {_sql_clean('text')} = '' THEN text ELSE {_sql_clean('text')} END AS text FROM documents",
 }
 
@@ -351,6 +370,6 @@ QUERIES = {
     for f in (
         discover_by_suffix, count_by_suffix, page_sequence, page_pairs, pairs_last_wins, books_with_images, pending_work, document_order, limit_pages,
         concat_terminated, concat_separated, chunk_text, chunk_counts, narration_chunks, mime_type, encode_payload, build_prompt, build_request, parse_response,
-        blank_filter, error_rollup, whole_groups, page_numbers, page_counts, fake_ocr, retry_fallback, resample_pcm, concat_audio, encode_books, resume_stream, listed_files,
+        blank_filter, error_rollup, whole_groups, page_numbers, page_counts, fake_ocr, retry_fallback, resample_pcm, concat_audio, encode_books, resume_stream, run_resumed,
     )
 }

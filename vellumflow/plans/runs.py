@@ -1,5 +1,6 @@
 """A run from documents to audio: every stage's result is stored before the next one reads it, so that no
-provider is asked twice, and each leaves a record."""
+provider is asked twice, and each leaves a record. Recognised pages and spoken chunks are kept from run to
+run, by name and hash of what they were made from; later runs ask for what is missing only."""
 
 from __future__ import annotations
 
@@ -14,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.config import Config
-from vellumflow.operators import assemble
+from vellumflow.operators import assemble, chunking
 from vellumflow.plans import stages
 
 NAMED = 20  # books that a warning names at the most
+PAGE = ["book", "base", "content_hash"]
+CHUNK = ["book", "chunk_no", "content_hash"]
 RECORD = "stage string, rows long, errors long, seconds double"
 
 
@@ -55,8 +58,40 @@ class Run:
         (self.log.warning if errors else self.log.info)("%s: %d rows, %d errors", name, rows, errors)
         return kept
 
+    def _read(self, name: str, schema) -> DataFrame:
+        """What is stored as folder/name; no rows if nothing is."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        there = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}") if there else self.spark.createDataFrame([], schema)
+
+    def resume(self, name: str, work: DataFrame, make: Callable[[DataFrame], DataFrame], keys: list[str], value: str) -> DataFrame:
+        """Results of the work, by keys that are not null: those that earlier runs stored as folder/name and
+        those that make(done), which leaves out what is in done (keys, length), has to add. Outputs with an
+        error or without bytes are in the result, but not stored for later: the next run asks again. What
+        work no longer has stays stored and is not in the result.
+
+        What is made is written to folder/name-last first, in one piece, and added to folder/name then. A run
+        that ends between the two, or amid the second, costs no calls: the next one adds what is missing."""
+        began = time.monotonic()
+        size = F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+        as_done = lambda rows: rows.select(*keys, size.alias("length"))
+        good = F.col("error").isNull() & (size > 0)
+        types = dict(work.dtypes)
+        schema = make(self.spark.createDataFrame([], ", ".join(f"`{k}` {types[k]}" for k in keys) + ", length long")).schema
+        add = lambda rows: rows.where(good).join(self._read(name, schema).select(*keys), keys, "left_anti").select(*schema.names).write.mode("append").parquet(f"{self.folder}/{name}")
+        add(self._read(f"{name}-last", schema))
+        make(as_done(self._read(name, schema))).write.mode("overwrite").parquet(f"{self.folder}/{name}-last")
+        last = self._read(f"{name}-last", schema)
+        add(last)
+        wanted = self._read(name, schema).join(work.select(*keys), keys, "left_semi").select(*schema.names)
+        result = wanted.union(last.where(~good))
+        rows, errors = last.agg(F.count("*"), F.count_if(F.col("error").isNotNull())).first()
+        self.records.append((name, rows, errors, time.monotonic() - began))
+        (self.log.warning if errors else self.log.info)("%s: %d rows, %d errors", name, rows, errors)
+        return result
+
     def report(self) -> DataFrame:
-        """(stage, rows, errors, seconds) of what was stored."""
+        """(stage, rows, errors, seconds) of what this run made and stored."""
         return self.spark.createDataFrame([(n, int(r), int(e), float(s)) for n, r, e, s in self.records], RECORD)
 
 
@@ -65,10 +100,10 @@ def books_to_audio(run: Run, books: DataFrame, cfg: Config, providers: dict[str,
     encode. ValueError if there is no book to work on."""
     if books.isEmpty():
         raise ValueError("no documents found")
-    spark = run.spark
-    images = run.store("png", stages.render(books, cfg, providers["count"], providers["draw"], providers["ink"])).where("error IS NULL").drop("error")
-    none = spark.createDataFrame([], "book string, base string, length long")
-    texts = run.store("text", stages.recognise(images, none, providers["ocr"], cfg.settings.workers and cfg.ocr_workers(1))).where("error IS NULL").drop("error")
+    drawn = stages.render(books, cfg, providers["count"], providers["draw"], providers["ink"]).withColumn("content_hash", F.sha2("content", 256))
+    images = run.store("png", drawn).where("error IS NULL").drop("error")
+    workers = cfg.settings.workers and cfg.ocr_workers(1)
+    texts = run.resume("text", images, lambda done: stages.recognise(images, done, providers["ocr"], workers, PAGE), PAGE, "text").where("error IS NULL").drop("error", "content_hash")
     told = run.store("final_text", stages.augment(texts, images, providers["ask"], prompt or cfg.prompts.extract_text.prompt.strip(), limit, cfg.settings.workers))
     narrations = run.store("final_complete", stages.narrate(told))
     return texts_to_audio(run, with_text(run, books, narrations), providers)
@@ -91,6 +126,6 @@ def merged(run: Run, pages: DataFrame) -> DataFrame:
 
 def texts_to_audio(run: Run, narrations: DataFrame, providers: dict[str, Callable]) -> DataFrame:
     """(book, mp3, error) of (book, text)."""
-    none = run.spark.createDataFrame([], "book string, chunk_no int, content_hash string, length long")
-    spoken = run.store("wav", stages.speak(narrations, none, providers["speech"]))
+    work = chunking.chunks(narrations).drop("chunk")
+    spoken = run.resume("wav", work, lambda done: stages.speak(narrations, done, providers["speech"]), CHUNK, "wav")
     return run.store("mp3", stages.encode(spoken, providers["encode"]))

@@ -14,24 +14,30 @@ from vellumflow.functions.names import base_name, chunk_file
 from vellumflow.functions.text import clean_or_raw
 from vellumflow.operators import assemble, audio, chunking, pages
 
+NO_COUNT = "no number of pages"
+
 
 def render(books: DataFrame, cfg: Config, count: Callable, draw: Callable, ink: Callable) -> DataFrame:
     """(book, base, file_name, content, error) of the pages of (book, pdf_path): counted, rendered,
-    blank ones dropped. A page whose blankness cannot be told stays."""
-    sized = providers.run(books, lambda: count, ["book", "pdf_path"], "pages", "int").where("pages > 0")
-    jobs = pages.page_jobs(sized.drop("error"))
-    drawn = providers.run(jobs, lambda: draw, ["book", "file_name"], "content", "binary", cfg.settings.workers).withColumn("base", base_name(F.col("file_name")))
+    blank ones dropped. A page whose blankness cannot be told stays, as do one that cannot be rendered and,
+    as a row without a name, a book whose pages cannot be counted, each with its error."""
+    sized = providers.run(books, lambda: count, ["book", "pdf_path"], "pages", "int")
+    failed = F.coalesce("error", F.when(F.col("pages").isNull(), NO_COUNT))
+    sized = sized.select("book", "pdf_path", failed.alias("failed"), F.when(failed.isNull(), F.col("pages")).otherwise(1).alias("pages"))
+    jobs = pages.page_jobs(sized).drop("pages").withColumn("file_name", F.when(F.col("failed").isNull(), F.col("file_name")))
+    drawn = providers.run(jobs, lambda: providers.UnlessFailed(draw), ["book", "file_name"], "content", "binary", cfg.settings.workers).withColumn("base", base_name(F.col("file_name")))
     if not cfg.settings.skip_blank_pages:
         return drawn.select("book", "base", "file_name", "content", "error")
-    rated = providers.run(drawn.select("book", "base", "file_name", "content", F.col("error").alias("failed")), lambda: ink, ["book", "base", "file_name", "content", "failed"], "ink", "double")
+    rated = providers.run(drawn.select("book", "base", "file_name", "content", F.col("error").alias("failed")), lambda: providers.UnlessFailed(ink), ["book", "base", "file_name", "content", "failed"], "ink", "double")
     kept = pages.not_blank(rated, F.col("ink") < cfg.blank_detection.fast_non_white_threshold)
     return kept.select("book", "base", "file_name", "content", F.col("failed").alias("error"))
 
 
-def recognise(images: DataFrame, done: DataFrame, ocr: Callable, workers: int = 0) -> DataFrame:
+def recognise(images: DataFrame, done: DataFrame, ocr: Callable, workers: int = 0, keys: list[str] = pages.KEYS) -> DataFrame:
     """(book, base, text, error) of (book, base, content) without an output in done (book, base,
-    length). The anti-join stands before the provider: nothing is pushed below it."""
-    read = providers.run(pages.pending(images, done, pages.KEYS), lambda: ocr, pages.KEYS, workers=workers)
+    length). The anti-join stands before the provider: nothing is pushed below it. With more keys, such as
+    content_hash, an output counts only for equal ones, and the result has them too."""
+    read = providers.run(pages.pending(images, done, keys), lambda: ocr, keys, workers=workers)
     return read.withColumn("text", clean_or_raw(F.col("text")))
 
 

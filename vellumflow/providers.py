@@ -25,6 +25,22 @@ class Blank(Exception):
     """An answer without content."""
 
 
+class Failed(Exception):
+    """An error of an earlier step, reported as it is."""
+
+
+@dataclass(frozen=True)
+class UnlessFailed:
+    """A provider that is not asked for rows in which an earlier step failed."""
+
+    provider: Provider
+
+    def __call__(self, row: dict) -> object:
+        if row["failed"] is not None:
+            raise Failed(row["failed"])
+        return self.provider(row)
+
+
 @dataclass(frozen=True)
 class Retry:
     """Each model in turn, `attempts` times, with the same pause after every failure; the first answer
@@ -113,7 +129,7 @@ def run(rows: DataFrame, make: Callable[[], Provider], keys: list[str], value: s
                     errors.append(None)
                 except Exception as e:
                     values.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
+                    errors.append(str(e) if isinstance(e, Failed) else f"{type(e).__name__}: {e}")
             yield batch[keys].assign(**{value: pd.Series(values, dtype=object, index=batch.index), "error": pd.Series(errors, dtype=object, index=batch.index)})
 
     return rows.mapInPandas(apply, ", ".join([*(f"`{k}` {types[k]}" for k in keys), f"`{value}` {kind}", "error string"]))
