@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vellumflow import providers
 from vellumflow.functions import messages, names, text
-from vellumflow.operators import assemble, audio, chunking, pages
+from vellumflow.operators import assemble, audio, chunking, pages, scan
 from vellumflow.plans import runs, stages
 from vellumflow.sources import files
 from vellumflow.streaming.resume import process_new
@@ -120,6 +120,12 @@ def narration_chunks(spark, sf_dir):
     return chunking.chunks(stages.narrate(pages.in_order(cleaned)))
 
 
+def narration_scan(spark, sf_dir):
+    """The same chunks, packed from pages that are never joined to a text per book."""
+    cleaned = _pages(spark, sf_dir).withColumn("text", text.clean_or_raw(F.col("text")))
+    return scan.chunks_of_pages(cleaned, names.document_order(F.col("base")))
+
+
 def mime_type(spark, sf_dir):
     ext = F.element_at(F.array(*(F.lit(x) for x in (".png", ".JPG", ".jpeg", ".WebP", ".bin", ""))), (F.col("page_id") % 6 + 1).cast("int"))
     return _table(spark, sf_dir, "pages").select("page_id", names.mime_type(F.concat(F.lit("p"), "page_id", ext)).alias("mime"))
@@ -315,6 +321,7 @@ def _sql_chunks(rows: str, result: str = "SELECT book, chunk_no, chunk, sha256(c
 {result}"""
 
 
+_NARRATED = f"{_P}, cl AS (SELECT *, {_sql_clean('text')} AS cleaned FROM p), n AS (SELECT book, string_agg(t, chr(10) || chr(10) ORDER BY doc_id) AS text FROM (SELECT book, doc_id, CASE WHEN cleaned = '' THEN text ELSE cleaned END AS t FROM cl) WHERE t <> '' GROUP BY book)"
 _TOLD = "n AS (SELECT CAST(conv_id AS VARCHAR) AS book, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn, text) FILTER (text <> ''), '') AS text FROM conversations GROUP BY conv_id)"
 _ORDER = "row_number() OVER (PARTITION BY book ORDER BY (n IS NULL), n, lower(base), base)"
 _URL_NAME = "regexp_extract(url, '([^/]*)$', 1) || CASE WHEN page_id % 2 = 0 THEN '.PDF' ELSE '.txt' END"
@@ -339,7 +346,8 @@ ORACLE_SQL = {
     "concat_separated": f"WITH {_P} SELECT book, sha256(t) AS text_sha256, strlen(t) AS n_bytes FROM (SELECT book, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY base, text) FILTER (text <> '' AND doc_id % 7 <> 0), '') AS t FROM p GROUP BY book)",
     "chunk_text": _sql_chunks(f"{_P}, n AS (SELECT doc_id AS book, text FROM p)"),
     "chunk_counts": _sql_chunks(f"{_P}, n AS (SELECT doc_id AS book, text FROM p)", "SELECT n.book, count(g.chunk_no) AS n_chunks FROM n LEFT JOIN g ON n.book = g.book GROUP BY n.book"),
-    "narration_chunks": _sql_chunks(f"{_P}, cl AS (SELECT *, {_sql_clean('text')} AS cleaned FROM p), n AS (SELECT book, string_agg(t, chr(10) || chr(10) ORDER BY doc_id) AS text FROM (SELECT book, doc_id, CASE WHEN cleaned = '' THEN text ELSE cleaned END AS t FROM cl) WHERE t <> '' GROUP BY book)"),
+    "narration_chunks": _sql_chunks(_NARRATED),
+    "narration_scan": _sql_chunks(_NARRATED, "SELECT book, CAST(chunk_no AS BIGINT) AS chunk_no, chunk, sha256(chunk) AS content_hash FROM g"),
     "mime_type": "SELECT page_id, CASE page_id % 6 WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/jpeg' WHEN 3 THEN 'image/webp' ELSE 'image/png' END AS mime FROM pages",
     "encode_payload": "SELECT page_id, base64(encode(html)) AS data FROM pages",
     "build_prompt": f"WITH {_P} SELECT doc_id, {_PROMPT('text')} AS prompt FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN ' ' ELSE text END AS text FROM p)",
@@ -369,7 +377,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         discover_by_suffix, count_by_suffix, page_sequence, page_pairs, pairs_last_wins, books_with_images, pending_work, document_order, limit_pages,
-        concat_terminated, concat_separated, chunk_text, chunk_counts, narration_chunks, mime_type, encode_payload, build_prompt, build_request, parse_response,
+        concat_terminated, concat_separated, chunk_text, chunk_counts, narration_chunks, narration_scan, mime_type, encode_payload, build_prompt, build_request, parse_response,
         blank_filter, error_rollup, whole_groups, page_numbers, page_counts, fake_ocr, retry_fallback, resample_pcm, concat_audio, encode_books, resume_stream, run_resumed,
     )
 }
