@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,24 @@ def test_rows_are_bounded(spark, tmp_path, monkeypatch):
     stored = spark.read.parquet(str(tmp_path / "blocks"))
     assert stored.select(F.max(F.length(F.array_join("lines", " ")))).first()[0] < 600
     assert stored.where("block IS NULL").count() <= 10
+
+
+def test_blocks_leave_a_batch_one_by_one():
+    """A batch of many blocks gives as many small batches, pages of a large batch are strings a few at a time."""
+    lines = [["some words of a line"] * 30] * 50
+    batch = pa.RecordBatch.from_pydict({"part": [0] * 50, "block": list(range(50)), "book": ["b"] * 50, "lines": lines, "size": [0] * 50, "before": [0] * 50})
+    out = list(scan.Pieces(chunking.TARGET, True)(iter([batch])))
+    assert len(out) == 50 and sum(b.num_rows for b in out) == 50 * (len(chunking.pack_lines("\n".join(lines[0]), chunking.TARGET)) - 1)
+
+
+def test_texts_are_changed_once_after_sorting(spark):
+    pages = spark.createDataFrame([("b", n, None if n == 3 else f"a{n}") for n in range(9)], "book string, n int, text string")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text.upper()
+
+    out = scan.chunks_of_pages(pages, [F.col("n")], parts=3, change=counted.asNondeterministic()).collect()
+    assert [r["chunk"] for r in out] == ["A0 A1 A2 A4 A5 A6 A7 A8"] and seen.value == 8

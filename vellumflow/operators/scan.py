@@ -12,6 +12,8 @@ from pieces.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,6 +27,7 @@ from vellumflow.sources.files import shared_folder
 
 BLOCK_BYTES = 1 << 20
 BATCH_ROWS = 4096
+PAGES = 64  # of a batch that are strings at a time
 BATCH_BYTES = 4 << 20
 
 
@@ -68,6 +71,11 @@ class Blocks:
     def __init__(self, target: int, block_bytes: int) -> None:
         self.target, self.block_bytes = target, block_bytes
 
+    def _pages(self, batch):
+        for at in range(0, batch.num_rows, PAGES):
+            few = batch.slice(at, PAGES)
+            yield from zip(few.column("book").to_pylist(), few.column("text").to_pylist())
+
     def __call__(self, batches):
         part, rows, held = TaskContext.get().partitionId(), [], 0
         types = [pa.int32(), pa.int32(), pa.int32(), None, pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64())]
@@ -87,7 +95,7 @@ class Blocks:
 
         for batch in batches:
             types[3] = batch.schema.field("book").type
-            for name, text in zip(batch.column("book").to_pylist(), batch.column("text").to_pylist()):
+            for name, text in self._pages(batch):
                 if nth < 0 or name != book:
                     close()
                     if nth == 0:
@@ -111,13 +119,14 @@ class Blocks:
 
 
 class Pieces:
-    """Chunks of blocks: those that lie within one (whole), or the pieces of the others."""
+    """Chunks of blocks: those that lie within one (whole), or the pieces of the others. A block is taken
+    out of its batch and given on by itself: a batch may hold 64 MB, which is many times that as strings."""
 
     def __init__(self, target: int, whole: bool) -> None:
         self.target, self.whole = target, whole
 
     def __call__(self, batches):
-        for batch in batches:
+        for batch in (blocks.slice(at, 1) for blocks in batches for at in range(blocks.num_rows)):
             out: list[tuple] = []
             columns = (batch.column(c).to_pylist() for c in ("part", "block", "book", "lines", "size", "before"))
             for part, block, book, lines, size, number in zip(*columns):
@@ -150,17 +159,19 @@ def _entered(ends: DataFrame) -> DataFrame:
     return folded.select(F.inline("seen")).where("nth = 0")
 
 
-def chunks_of_pages(pages: DataFrame, order: list[Column], target: int = TARGET, parts: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def chunks_of_pages(pages: DataFrame, order: list[Column], target: int = TARGET, parts: int = 0, block_bytes: int = BLOCK_BYTES, change: Callable[[Column], Column] = lambda text: text) -> DataFrame:
     """(book, chunk_no from 1, chunk, content_hash) of pages (book, text, ...) in `order` in each book, ties by
     text: the same as chunking.chunks() of the pages joined with empty lines. A row holds at most block_bytes
     and a line. Null and blank texts have no lines, books of such no chunks; rows of a null book are a book.
 
     The blocks are written to the shared folder once, so that what is counted and what is packed are the same
-    whatever executors are lost. parts: tasks to sort in, by default as many as shuffles have."""
+    whatever executors are lost. parts: tasks to sort in, by default as many as shuffles have. change: what
+    is done to texts, null only for null ones; it is worked out once, in the sorted tasks, while that of a column
+    of pages would be for the sample of the keys, too."""
     spark, at = pages.sparkSession, shared_folder(pages.sparkSession)
     named = pages.where(F.col("text").isNotNull()).select("book", "text", *(c.alias(f"_k{i}") for i, c in enumerate(order)))
     keys = ["book", *(f"_k{i}" for i in range(len(order)))]
-    dealt = named.repartitionByRange(*([parts] if parts else []), *keys).sortWithinPartitions(*keys, "text").select("book", "text")
+    dealt = named.repartitionByRange(*([parts] if parts else []), *keys).sortWithinPartitions(*keys, "text").select("book", change(F.col("text")).alias("text"))
     schema = _schema(pages.schema["book"].dataType)
     dealt.mapInArrow(Blocks(target, block_bytes), schema).write.option("compression", "zstd").parquet(at)
     stored = spark.read.schema(schema).parquet(at)

@@ -122,8 +122,7 @@ def narration_chunks(spark, sf_dir):
 
 def narration_scan(spark, sf_dir):
     """The same chunks, packed from pages that are never joined to a text per book."""
-    cleaned = _pages(spark, sf_dir).withColumn("text", text.clean_or_raw(F.col("text")))
-    return scan.chunks_of_pages(cleaned, names.document_order(F.col("base")))
+    return scan.chunks_of_pages(_pages(spark, sf_dir), names.document_order(F.col("base")), change=text.clean_or_raw)
 
 
 def mime_type(spark, sf_dir):
