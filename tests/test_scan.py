@@ -88,3 +88,12 @@ def test_texts_are_changed_once_after_sorting(spark):
 
     out = scan.chunks_of_pages(pages, [F.col("n")], parts=3, change=counted.asNondeterministic()).collect()
     assert [r["chunk"] for r in out] == ["A0 A1 A2 A4 A5 A6 A7 A8"] and seen.value == 8
+
+
+def test_narrations_are_never_a_row(spark):
+    """The query from pages to speech collects no book: its plan has no list of pages."""
+    from vellumflow.plans import catalogue
+
+    out = catalogue.narration_chunks(spark, "/root/testdata/sf0.001")
+    assert out.schema["chunk_no"].dataType.simpleString() == "int"
+    assert "posexplode" not in (plan := out._jdf.queryExecution().toString()) and "Window" not in plan

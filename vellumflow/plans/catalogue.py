@@ -115,9 +115,9 @@ def chunk_counts(spark, sf_dir):
 
 
 def narration_chunks(spark, sf_dir):
-    """Pages cleaned, put in order, joined to narrations and packed: the flow from pages to speech."""
-    cleaned = _pages(spark, sf_dir).withColumn("text", text.clean_or_raw(F.col("text")))
-    return chunking.chunks(stages.narrate(pages.in_order(cleaned)))
+    """Pages cleaned, put in order and packed, as the narrations that they make up are: the flow from pages to
+    speech. A book here is a source, with any number of pages, so that it is never one row."""
+    return narration_scan(spark, sf_dir).withColumn("chunk_no", F.col("chunk_no").cast("int"))
 
 
 def narration_scan(spark, sf_dir):
