@@ -4,6 +4,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from vellumflow.llm import ngrams
 from vellumflow.llm import op2_toxicity as toxicity
@@ -167,3 +168,35 @@ def test_stage(spark, make_docs, tables):
     ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
     bad = {r[0] for r in rows if r[2]}
     assert len(ids & bad) <= 2 and len(set(range(300)) - bad - ids) <= 2
+
+
+def test_every_labelled_text_is_learnt_from(spark):
+    """No bound on labelled rows; every one of both classes is in a pair; cut and weights are those of all rows."""
+    rows = [(i, int(i % 7 > 0), f"w{i} " * 3) for i in range(9000)]
+    frame = spark.createDataFrame(rows, "doc_id long, quality int, text string")
+    assert ngrams.labelled_rows(frame.drop("quality"), frame.drop("text"), "quality").count() == sum(not held(r[0]) for r in rows)
+    draw = np.random.default_rng(3)
+    x, y = draw.normal(size=(700, 3)), draw.random(700) < 0.8
+    x[:, 0] = np.where(y, 0.5, -0.5) + x[:, 0]
+    stored = ngrams.written(spark.createDataFrame([(i, bool(g), (0, 3, [0, 1, 2], v.tolist())) for i, (g, v) in enumerate(zip(y, x))], f"doc_id long, good boolean, features {ngrams.VECTOR}"), "features")
+    good, poor = int(y.sum()), int((~y).sum())
+    for larger in (True, False):
+        seen = quality.numbered(stored).where(f"good = {larger}").select("at").collect()
+        assert sorted(r["at"] for r in seen) == list(range(good if larger else poor))
+    pairs = quality.preferences(stored, good, poor, 10)
+    kept = [(r["label"], r["features"]["values"]) for r in pairs.collect()]
+    both = {tuple(np.round(a - b, 9)): (i, j) for i, a in enumerate(x) if y[i] for j, b in enumerate(x) if not y[j]}
+    found = [both[tuple(np.round(np.array(v) * (1 if label else -1), 9))] for label, v in kept]
+    assert len(found) == good and len({i for i, _ in found}) == good and len({j for _, j in found}) == poor
+    w, _ = ngrams.fitted(ngrams.as_vectors(pairs), 0.01, False)
+    assert np.allclose(w, quality.bradley_terry(x.astype(np.float32), *np.array(found).T, 0.01), atol=5e-3)
+    w, b = ngrams.fitted(ngrams.as_vectors(stored).withColumn("label", F.col("good").cast("double")), 0.01, True)
+    assert np.allclose([*w, b], np.append(*toxicity.logistic(x.astype(np.float32), y, 0.01)), atol=5e-3)
+
+
+def test_quantile_of_many(spark, monkeypatch):
+    monkeypatch.setattr(quality, "HELD", 20)
+    values = [*np.random.default_rng(1).normal(size=900).tolist(), *[0.25] * 300, 1e9]
+    ranks = spark.createDataFrame([(v,) for v in values], "rank double")
+    for share in (0.0, 0.33, 0.61, 1.0):
+        assert np.isclose(quality.quantile(ranks, len(values), share), np.quantile(values, share))

@@ -17,15 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import is_held_out, written
+from vellumflow.llm.common import drop_written, is_held_out, tables_written, written
 
 ORDERS = (2, 3, 4, 5, 6)
 BITS = 20
 RARE = 60
 STEPS = 1024
 SLICE = 1 << 20
-TASKS = 16  # that take the sample apart
-CHUNK = 1024  # n-grams of a text in one row, so that batches of rows are small
+LEAST_ROWS, MOST_ROWS = 2048, 32768  # labelled texts of a task: fewer tasks than cores have the least at least, none more than the most
 ROWS = 256  # texts whose densities are held at a time
 LEAST_DOCUMENTS = 8
 LEAST_T = 2.0
@@ -135,20 +134,34 @@ class Densities:
             yield first, density(counts, np.maximum(0, words - 1)[:, None]).astype(np.float32) / STEPS
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(doc_id, label, text) of at most `limit` labelled documents outside the held-out rows, those with
-    the least hash of their id. Rows without a label or an id are left out; of several labels the least
-    counts, of several texts that with the least hash; null texts are empty."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label, text) of all labelled documents outside the held-out rows. Rows without a label or an
+    id are left out; of several labels the least counts, of several texts that with the least hash; null
+    texts are empty."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).alias("label"))
-    drawn = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))  # `limit` rows at the most
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(drawn, "doc_id")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(known, "doc_id")
     return rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
+@dataclass
+class Examples:
+    """Chosen n-grams, the log ratio of their mean densities in the two classes, mean and deviation of their
+    densities and of the measures, how many texts are of class 1 and of class 0, and the texts:
+    (doc_id, good, text, measures), as they are stored, sorted within files."""
+
+    grams: np.ndarray
+    ratio: np.ndarray
+    mean: np.ndarray
+    scale: np.ndarray
+    known: np.ndarray
+    good: int
+    poor: int
+    texts: DataFrame
+
+
 @dataclass
 class Sample:
-    """Chosen n-grams, the log ratio of their mean densities in the two classes, and for each text of
-    the sample its densities, its measures and whether it is of class 1."""
+    """Examples that one machine holds: for each text its densities, its measures and whether it is of class 1."""
 
     grams: np.ndarray
     ratio: np.ndarray
@@ -157,10 +170,6 @@ class Sample:
     y: np.ndarray
 
 
-PART_NAMES = ["doc_id", "label", "grams", "densities", "sketch", "measures"]
-PART_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64())]
-
-
 def _sketch(text: bytes) -> list[int]:
     """The least hashes of the text's runs of four words."""
     from vellumflow.llm.op9_golay import shingle_hashes
@@ -171,75 +180,138 @@ def _sketch(text: bytes) -> list[int]:
     return least.view(np.int64).tolist()
 
 
-def learnable(docs: DataFrame, labels: DataFrame, label: str, limit: int, features: int, signs: bool, measures: Callable[[bytes], list[float]] = lambda text: []) -> Sample:
-    """What a classifier can be fitted to. Texts are taken apart on the executors: the driver gets, for
-    `limit` texts at the most, a sketch, measures and the densities of at most `features` n-grams.
-
-    Texts that share half of their sketch with texts before are left out: copies of one document are no
-    independent evidence. N-grams are chosen by the t statistic of their densities in the two classes."""
+def _distinct(rows: DataFrame, measures: Callable[[bytes], list[float]]) -> DataFrame:
+    """(doc_id, good, text, measures), stored, of the rows but those that share half of their sketch with rows
+    of smaller ids: copies of one document are no independent evidence."""
 
     def take_apart(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 16):
-                batch, out = whole.slice(at, 16), []
-                for doc, label, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))):
-                    grams, times, words = counted(text, signs)
-                    values, utf8 = density(times, words).astype(np.uint16), text.encode("utf-8", "surrogatepass")
-                    for k in range(0, max(1, len(grams)), CHUNK):
-                        first = (_sketch(utf8), measures(utf8)) if k == 0 else (None, None)
-                        out.append((doc, label, grams[k : k + CHUNK].tobytes(), values[k : k + CHUNK].tobytes(), *first))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), PART_TYPES)], PART_NAMES)
-
-    tasks = max(2, min(TASKS, docs.sparkSession.sparkContext.defaultParallelism))
-    rows = labelled_rows(docs, labels, label, limit).select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text").repartition(tasks, "doc_id")
-    held = written(rows.mapInArrow(take_apart, "doc_id long, label int, grams binary, densities binary, sketch array<long>, measures array<double>"), "sample")
-    seen: set[int] = set()
-    kept, y, known = [], [], []
-    for r in sorted(held.where("sketch IS NOT NULL").select("doc_id", "label", "sketch", "measures").collect(), key=lambda r: r["doc_id"]):
-        if not r["sketch"] or 2 * sum(h in seen for h in r["sketch"]) < len(r["sketch"]):
-            kept.append(r["doc_id"])
-            y.append(r["label"] > 0)
-            known.append(r["measures"])
-        seen.update(r["sketch"])
-    place = {d: i for i, d in enumerate(kept)}  # `limit` ids at the most
+            for batch in (whole.slice(at, 16) for at in range(0, whole.num_rows, 16)):
+                texts = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+                known = [pa.array([_sketch(t) for t in texts], pa.list_(pa.int64())), pa.array([measures(t) for t in texts], pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *known], ["doc_id", "good", "text", "sketch", "measures"])
+
+    spark, first = rows.sparkSession, tables_written()
+    rows = rows.select(F.col("doc_id").cast("long"), (F.col("label") > 0).alias("good"), "text")
+    held = written(rows.mapInArrow(take_apart, "doc_id long, good boolean, text string, sketch array<long>, measures array<double>"), "labelled")
+    n, cores = held.count(), spark.sparkContext.defaultParallelism
+    tasks = max(1, min(-(-n // LEAST_ROWS), max(cores, -(-n // MOST_ROWS))))
+    parts = held.select("doc_id", F.explode("sketch").alias("h"))
+    seen = parts.join(parts.groupBy("h").agg(F.min("doc_id").alias("first")), "h").groupBy("doc_id").agg(F.count_if(F.col("first") < F.col("doc_id")).alias("seen"))
+    copies = seen.join(held.select("doc_id", F.size("sketch").alias("n")), "doc_id").where(2 * F.col("seen") >= F.col("n")).select("doc_id")
+    kept = held.drop("sketch").join(copies, "doc_id", "left_anti").repartition(tasks, "doc_id").sortWithinPartitions("doc_id")
+    stored = written(kept, "examples")
+    drop_written(spark, first, first + 1)
+    return stored
+
+
+def examples(docs: DataFrame, labels: DataFrame, label: str, features: int, signs: bool, measures: Callable[[bytes], list[float]] = lambda text: []) -> Examples:
+    """What a classifier can be fitted to: all labelled texts outside the held-out rows, near copies once.
+    N-grams are chosen by the t statistic of their densities in the two classes; only those, `features` at the
+    most, reach the driver, with sums over the texts."""
+    texts = _distinct(labelled_rows(docs, labels, label), measures)
 
     def moments(batches):
         sums = np.zeros((5, 1 << BITS), np.int64)
         for batch in batches:
-            for doc, label, grams, values in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "grams", "densities"))):
-                if doc in place:
-                    at, v = np.frombuffer(grams, np.uint32), np.frombuffer(values, np.uint16).astype(np.int64)
-                    side = 2 * int(label > 0)
-                    sums[side][at] += v
-                    sums[side + 1][at] += v * v
-                    sums[4][at] += 1
-        at = np.flatnonzero(sums[4])
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, *sums[:, at])], ["gram", "s0", "q0", "s1", "q1", "n"])
-
-    good, poor = max(1, sum(y)), max(1, len(y) - sum(y))
+            for at in range(0, batch.num_rows, ROWS):
+                few = batch.slice(at, ROWS)
+                for good, text in zip(few.column("good").to_pylist(), few.column("text").to_pylist()):
+                    grams, times, words = counted(text, signs)
+                    v, side = density(times, words), 2 * int(good)
+                    sums[side][grams] += v
+                    sums[side + 1][grams] += v * v
+                    sums[4][grams] += 1
+        found = np.flatnonzero(sums[4])
+        for k in range(0, len(found), 1 << 16):
+            at = found[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, *sums[:, at])], ["gram", *names])
+
     names = ("s0", "q0", "s1", "q1", "n")
-    sums = held.coalesce(2).mapInArrow(moments, "gram long, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
+    counts = texts.agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("poor")).first()
+    good, poor = max(1, counts["good"]), max(1, counts["poor"])
+    sums = texts.select("good", "text").mapInArrow(moments, "gram long, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
     variance = (F.col("q1") / good - (F.col("s1") / good) ** 2) / good + (F.col("q0") / poor - (F.col("s0") / poor) ** 2) / poor
     t = F.abs(F.col("s1") / good - F.col("s0") / poor) / F.sqrt(F.greatest(variance, F.lit(0.0)) + 1e-9 * STEPS**2)
     best = sums.withColumn("t", t).where((F.col("n") >= LEAST_DOCUMENTS) & (F.col("t") > LEAST_T)).orderBy(F.desc("t"), "gram").limit(features).collect()
     best.sort(key=lambda r: r["gram"])
-    grams = np.array([r["gram"] for r in best], np.uint32)
-    mean = [np.array([r[s] for r in best], float) / n / STEPS for s, n in (("s1", good), ("s0", poor))]
-    ratio = np.log((mean[0] + SMOOTH) / (mean[1] + SMOOTH))
+    s0, q0, s1, q1 = (np.array([r[c] for r in best], float) for c in names[:4])
+    ratio = np.log((s1 / good / STEPS + SMOOTH) / (s0 / poor / STEPS + SMOOTH))
+    n = max(1, counts["good"] + counts["poor"])
+    mean = (s0 + s1) / n / STEPS
+    known = texts.select(F.posexplode("measures").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("scale")).orderBy("at").collect()
+    known = np.array([(r["mean"], r["scale"]) for r in known], float).reshape(-1, 2)
+    scale = np.sqrt(np.maximum(0, (q0 + q1) / n / STEPS**2 - mean**2))
+    return Examples(np.array([r["gram"] for r in best], np.uint32), ratio, mean, scale, known, counts["good"], counts["poor"], texts)
 
-    def choose(batches):
-        index = np.zeros(1 << BITS, np.uint16)
-        index[grams] = np.arange(1, len(grams) + 1)
-        for batch in batches:
-            out: list[tuple] = []
-            for doc, found, values in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grams", "densities"))):
-                if doc in place:
-                    which = index[np.frombuffer(found, np.uint32)]
-                    at = which > 0
-                    out.append((place[doc], (which[at] - np.uint16(1)).tobytes(), np.frombuffer(values, np.uint16)[at].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["row", "which", "values"])
-
-    x = np.zeros((len(kept), len(grams)), np.float32)
-    for r in held.select("doc_id", "grams", "densities").mapInArrow(choose, "row int, which binary, values binary").toLocalIterator():
-        x[r["row"], np.frombuffer(r["which"], np.uint16)] = np.frombuffer(r["values"], np.uint16) / np.float32(STEPS)
-    return Sample(grams, ratio, x, np.array(known, float).reshape(len(kept), len(measures(b""))), np.array(y, bool))
+
+#: A row of features as MLlib stores a sparse vector: type 0, length, places and values.
+VECTOR = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+
+
+def sparse(rows: list[tuple[np.ndarray, np.ndarray]], size: int) -> pa.Array:
+    """An Arrow column of VECTOR from (places, values) of each row."""
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    places, values = pa.array([p.astype(np.int32) for p, _ in rows], pa.list_(pa.int32())), pa.array([v.astype(float) for _, v in rows], pa.list_(pa.float64()))
+    return pa.StructArray.from_arrays([pa.array([0] * len(rows), pa.int8()), pa.array([size] * len(rows), pa.int32()), places, values], fields=list(kind))
+
+
+def featured(found: Examples, signs: bool, factor: np.ndarray) -> DataFrame:
+    """(doc_id, good, features VECTOR), stored: the measures, then the densities, each times its factor."""
+    grams, width, first = found.grams, len(factor), len(factor) - len(found.grams)
+
+    def answer(batches):
+        densities = Densities(grams, signs)
+        for whole in batches:
+            for batch in (whole.slice(at, ROWS) for at in range(0, whole.num_rows, ROWS)):
+                x = np.zeros((batch.num_rows, width))
+                if first:
+                    x[:, :first] = np.array(batch.column("measures").to_pylist(), float)
+                if width > first:
+                    for at, part in densities.groups(batch.column("text").to_pylist()):
+                        x[at : at + len(part), first:] = part
+                x *= factor
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), sparse([(at := np.flatnonzero(row), row[at]) for row in x], width)], ["doc_id", "good", "features"])
+
+    return written(found.texts.mapInArrow(answer, f"doc_id long, good boolean, features {VECTOR}"), "features")
+
+
+def dots(weights: np.ndarray):
+    """A function from a column of VECTOR to the product of each row with each row of weights."""
+
+    def of(column: pa.Array) -> np.ndarray:
+        places, values = column.field("indices"), column.field("values")
+        ends = np.asarray(places.offsets).astype(np.int64)
+        at, x = np.asarray(places.values)[ends[0] : ends[-1]], np.asarray(values.values)[ends[0] : ends[-1]]
+        row = np.repeat(np.arange(len(column)), np.diff(ends))
+        return np.array([np.bincount(row, x * w[at], len(column)) for w in weights])
+
+    return of
+
+
+def fitted(rows: DataFrame, penalty: float, intercept: bool, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Weights and bias of the logistic regression of (label, features) with a quadratic penalty but on the
+    bias, by MLlib over all rows. rows must be read from files, features as VECTOR."""
+    from pyspark.ml.classification import LogisticRegression
+
+    model = LogisticRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, fitIntercept=intercept, maxIter=rounds, tol=1e-7, family="binomial").fit(rows)
+    return model.coefficients.toArray(), float(model.intercept)
+
+
+def as_vectors(stored: DataFrame) -> DataFrame:
+    """A stored table with its column `features` read as vectors."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+
+    schema = StructType([StructField(f.name, VectorUDT()) if f.name == "features" else f for f in stored.schema])
+    return stored.sparkSession.read.schema(schema).parquet(*{name.rsplit("/", 1)[0] for name in stored.inputFiles()})
+
+
+def learnable(docs: DataFrame, labels: DataFrame, label: str, limit: int, features: int, signs: bool, measures: Callable[[bytes], list[float]] = lambda text: []) -> Sample:
+    """Examples brought to the driver, for tables of few labels: those with the `limit` least hashes of their
+    ids. The queries fit all examples where they lie."""
+    few = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    found = examples(docs, labels.join(few, "doc_id", "left_semi"), label, features, signs, measures)
+    rows = found.texts.orderBy("doc_id").collect()
+    x = np.concatenate([np.zeros((0, len(found.grams)), np.float32), *(part for _, part in Densities(found.grams, signs).groups([r["text"] for r in rows]))])
+    return Sample(found.grams, found.ratio, x, np.array([r["measures"] for r in rows], float).reshape(len(rows), -1 if rows else 0), np.array([r["good"] for r in rows], bool))

@@ -3,26 +3,26 @@
 Texts are folded to lower case with all runs apart from letters and digits as spaces; their n-grams
 of two to six characters are hashed. A feature is the density of an n-gram in a text times the
 log ratio of its mean densities in the two classes; a logistic regression with a quadratic penalty,
-chosen on a part of the sample, weighs the features.
+chosen on a part of the labelled texts, weighs the features.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.llm.common import is_held_out, table, with_scores
-from vellumflow.llm.ngrams import Densities, Sample, learnable
+from vellumflow.llm.ngrams import Densities, Examples, Sample, as_vectors, dots, examples, featured, fitted
 
-SAMPLE = 8000  # bound on the labelled rows that the classifier is fitted to
 FEATURES = 2048
 PENALTIES = (1e-2, 1e-3, 1e-4)
 LEAST = 50  # texts of a class below which the middle penalty is taken unseen
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias by accelerated gradient descent; the bias is not penalised."""
+    """Weights and bias of rows on one machine by accelerated gradient descent; the bias is not penalised."""
     n = len(y)
     y = y.astype(np.float32)
     v = np.ones(x.shape[1], np.float32)
@@ -42,6 +42,24 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 300) ->
     return w.astype(float), float(b)
 
 
+def best_penalty_of_all(stored: DataFrame, rows: DataFrame, good: int, poor: int) -> float:
+    """best_penalty() over stored features, `rows` the same as vectors; the quarter is drawn by hashes of ids."""
+    if min(good, poor) < LEAST:
+        return PENALTIES[1]
+    back = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    fits = [fitted(rows.where(~back), penalty, True) for penalty in PENALTIES]
+
+    def losses(batches):
+        score = dots(np.array([w for w, _ in fits]))
+        for batch in batches:
+            z = score(batch.column("features")) + np.array([b for _, b in fits])[:, None]
+            found = np.logaddexp(0, np.where(batch.column("good").to_numpy(zero_copy_only=False), -1, 1) * z).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(fits)), pa.int32()), pa.array(found)], ["at", "loss"])
+
+    found = stored.where(back).select("good", "features").mapInArrow(losses, "at int, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()
+    return PENALTIES[min(found, key=lambda r: r["loss"])["at"]] if found else PENALTIES[1]
+
+
 def best_penalty(x: np.ndarray, y: np.ndarray) -> float:
     """The penalty under which a quarter of the sample, held back, is likeliest."""
     if min(y.sum(), len(y) - y.sum()) < LEAST:
@@ -68,6 +86,18 @@ class Model:
             w, self.bias = logistic(x, y, best_penalty(x, y))
             self.weights = w * sample.ratio
 
+    @classmethod
+    def of(cls, found: Examples) -> Model:
+        """The model of all examples, fitted where they lie."""
+        self = cls(Sample(found.grams, found.ratio, np.zeros((0, len(found.grams))), np.zeros((0, 0)), np.zeros(0, bool)))
+        self.bias = float(np.log((found.good + 0.5) / (found.poor + 1.5)))
+        if len(found.grams) and found.good and found.poor:
+            stored = featured(found, False, found.ratio)
+            rows = as_vectors(stored).withColumn("label", F.col("good").cast("double"))
+            w, self.bias = fitted(rows, best_penalty_of_all(stored, rows, found.good, found.poor), True)
+            self.weights = w * found.ratio
+        return self
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Probability of each whole text; empty ones have the prior."""
         out = np.full(len(texts), self.bias)
@@ -78,12 +108,12 @@ class Model:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, target: DataFrame, name: str) -> DataFrame:
-    """target with the probability `name` that its text is toxic, learnt from the labels of docs.
+    """target with the probability `name` that its text is toxic, learnt from all labels of docs.
 
     Only text is looked at. Null and empty texts get about the prior, and so do all texts where labels
     of both classes are missing. Very long texts are scored whole, a slice at a time. Repeated rows and
     equal texts score alike; no rows give no rows. A column `name` is replaced, all others stay."""
-    model = docs.sparkSession.sparkContext.broadcast(Model(learnable(docs, labels, "toxic", SAMPLE, FEATURES, signs=False)))
+    model = docs.sparkSession.sparkContext.broadcast(Model.of(examples(docs, labels, "toxic", FEATURES, signs=False)))
     return with_scores(target, lambda texts: model.value.scores(texts), name)
 
 
