@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from vellumflow.functions import names
@@ -67,3 +68,12 @@ def test_pack_lines():
     assert pack("é" * 3 + "\nx", 8) == ["ééé x"] and pack("é" * 3 + "\nx", 7) == ["ééé", "x"]
     assert pack("x" * 70_000 + "\ny", 200) == ["x" * 70_000, "y"]
     assert pack(None, 5) == pack(" \n\t\n", 5) == []
+
+
+def test_chunks_of_a_batch_a_few_books_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"book": [*range(300), None], "text": ["a\nb", None, "c" * 250 + "\nd"] * 100 + ["e"]})
+    out = list(chunking.Chunks(chunking.TARGET)(iter([batch])))
+    assert len(out) == -(-301 // chunking.BOOKS)
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    want = [(k, i + 1, c) for k, t in zip(batch.column("book").to_pylist(), batch.column("text").to_pylist()) for i, c in enumerate(chunking.pack_lines(t, chunking.TARGET))]
+    assert rows == want

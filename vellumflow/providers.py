@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 MODELS = ("light", "standard", "large")
+ROWS = 256  # whose inputs and answers are held at a time
 ONE_THREAD = {"OMP_NUM_THREADS": "1", "OMP_THREAD_LIMIT": "1", "OPENBLAS_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
 Provider = Callable[[dict], object]
 
@@ -121,7 +122,7 @@ def run(rows: DataFrame, make: Callable[[], Provider], keys: list[str], value: s
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = make()
-        for batch in batches:
+        for batch in (whole.iloc[at : at + ROWS] for whole in batches for at in range(0, len(whole), ROWS)):
             values, errors = [], []
             for row in batch.to_dict("records"):
                 try:
