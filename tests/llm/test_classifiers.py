@@ -200,3 +200,40 @@ def test_quantile_of_many(spark, monkeypatch):
     ranks = spark.createDataFrame([(v,) for v in values], "rank double")
     for share in (0.0, 0.33, 0.61, 1.0):
         assert np.isclose(quality.quantile(ranks, len(values), share), np.quantile(values, share))
+
+
+def test_toxicity_is_the_least_loss_after_few_jobs(spark):
+    """The fitted weights leave no slope under one of the penalties; passes over the rows are few."""
+    rows = corpus(500)
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = ngrams.examples(docs, labels, "toxic", 256, signs=False)
+    spark.sparkContext.setJobGroup("fit", "fit")
+    try:
+        model = toxicity.Model.of(found)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("fit")) <= 120
+    kept = sorted(found.texts.collect(), key=lambda r: r["doc_id"])
+    y = np.array([r["good"] for r in kept])
+    x = np.concatenate([p for _, p in ngrams.Densities(found.grams, False).groups([r["text"] for r in kept])]) * found.ratio
+    w = model.weights / found.ratio
+    off = 1 / (1 + np.exp(-(x @ w + model.bias))) - y
+    assert abs(off.mean()) < 1e-6
+    assert min(np.abs(x.T @ off / len(y) + penalty * w).max() for penalty in toxicity.PENALTIES) < 1e-6
+
+
+def test_curvature_of_all(spark, monkeypatch):
+    """Loss, slope and curvature of rows in several tasks, blocks and strips against plain sums."""
+    monkeypatch.setattr(toxicity, "STRIP", 3)
+    draw = np.random.default_rng(5)
+    x, y, w = draw.normal(size=(300, 7)), draw.random(300) < 0.3, draw.normal(size=8)
+    stored = ngrams.written(spark.createDataFrame([(bool(g), (0, 7, list(range(7)), v.tolist())) for g, v in zip(y, x)], f"good boolean, features {ngrams.VECTOR}").repartition(3), "features")
+    full = np.concatenate([x, np.ones((300, 1))], axis=1)
+    z, away = full @ w, np.append(w[:-1], 0)
+    p = 1 / (1 + np.exp(-z))
+    n, loss, slope = toxicity.loss_of_all(stored, w, 0.01)
+    assert n == 300 and np.isclose(loss, np.logaddexp(0, np.where(y, -z, z)).mean() + 0.005 * away @ away)
+    assert np.allclose(slope, full.T @ (p - y) / 300 + 0.01 * away)
+    matrix = toxicity.curvature_of_all(stored, n, w)
+    assert np.allclose(matrix, (full * (p * (1 - p))[:, None]).T @ full / 300, atol=1e-6)
+    assert np.allclose(matrix @ (s := toxicity.solved(matrix, np.full(8, 0.01), slope)) + 0.01 * s, slope, atol=1e-8)

@@ -276,14 +276,19 @@ def featured(found: Examples, signs: bool, factor: np.ndarray) -> DataFrame:
     return written(found.texts.mapInArrow(answer, f"doc_id long, good boolean, features {VECTOR}"), "features")
 
 
+def entries(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, value) of all that a column of VECTOR holds."""
+    places, values = column.field("indices"), column.field("values")
+    ends = np.asarray(places.offsets).astype(np.int64)
+    at, x = np.asarray(places.values)[ends[0] : ends[-1]], np.asarray(values.values)[ends[0] : ends[-1]]
+    return np.repeat(np.arange(len(column)), np.diff(ends)), at, x
+
+
 def dots(weights: np.ndarray):
     """A function from a column of VECTOR to the product of each row with each row of weights."""
 
     def of(column: pa.Array) -> np.ndarray:
-        places, values = column.field("indices"), column.field("values")
-        ends = np.asarray(places.offsets).astype(np.int64)
-        at, x = np.asarray(places.values)[ends[0] : ends[-1]], np.asarray(values.values)[ends[0] : ends[-1]]
-        row = np.repeat(np.arange(len(column)), np.diff(ends))
+        row, at, x = entries(column)
         return np.array([np.bincount(row, x * w[at], len(column)) for w in weights])
 
     return of

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.llm.common import is_held_out, table, with_scores
-from vellumflow.llm.ngrams import Densities, Examples, Sample, as_vectors, dots, examples, featured, fitted
+from vellumflow.llm.ngrams import Densities, Examples, Sample, dots, entries, examples, featured
 
 FEATURES = 2048
 PENALTIES = (1e-2, 1e-3, 1e-4)
 LEAST = 50  # texts of a class below which the middle penalty is taken unseen
+GAIN = 1e-12  # that a step must promise, in the mean loss
+CURVED, BLOCK, STRIP = 8192, 1024, 64  # rows of a task that multiplies them out, of them at a time, rows of a strip
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -42,22 +44,125 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 300) ->
     return w.astype(float), float(b)
 
 
-def best_penalty_of_all(stored: DataFrame, rows: DataFrame, good: int, poor: int) -> float:
-    """best_penalty() over stored features, `rows` the same as vectors; the quarter is drawn by hashes of ids."""
-    if min(good, poor) < LEAST:
-        return PENALTIES[1]
-    back = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
-    fits = [fitted(rows.where(~back), penalty, True) for penalty in PENALTIES]
+def loss_of_all(rows: DataFrame, weights: np.ndarray, penalty: float) -> tuple[int, float, np.ndarray]:
+    """How many rows (good, features VECTOR) there are, their mean logistic loss with the penalty, and its
+    gradient; the bias is the last of the weights. Each task sends the driver its sums, one number for each weight."""
 
-    def losses(batches):
-        score = dots(np.array([w for w, _ in fits]))
+    def sums(batches):
+        total, score = np.zeros(len(weights) + 2), dots(weights[None, :-1])
         for batch in batches:
-            z = score(batch.column("features")) + np.array([b for _, b in fits])[:, None]
-            found = np.logaddexp(0, np.where(batch.column("good").to_numpy(zero_copy_only=False), -1, 1) * z).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(fits)), pa.int32()), pa.array(found)], ["at", "loss"])
-
-    found = stored.where(back).select("good", "features").mapInArrow(losses, "at int, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()
-    return PENALTIES[min(found, key=lambda r: r["loss"])["at"]] if found else PENALTIES[1]
+            row, at, x = entries(batch.column("features"))
+            side = np.where(batch.column("good").to_numpy(zero_copy_only=False), -1.0, 1.0)
+            z = side * (score(batch.column("features"))[0] + weights[-1])
+            pull = side / (1 + np.exp(-np.clip(z, -700, 700)))
+            total[:-3] += np.bincount(at, x * pull[row], len(weights) - 1)
+            total[-3:] += pull.sum(), np.logaddexp(0, z).sum(), len(z)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    found = rows.select("good", "features").mapInArrow(sums, "sums binary").collect()
+    total = sum((np.frombuffer(r["sums"]) for r in found), np.zeros(len(weights) + 2))
+    n, w = max(1, int(total[-1])), np.append(weights[:-1], 0)
+    return n, float(total[-2] / n + penalty / 2 * (w @ w)), total[:-2] / n + penalty * w
+
+
+def curvature_of_all(rows: DataFrame, n: int, weights: np.ndarray) -> np.ndarray:
+    """Second derivatives of loss_of_all() of n rows but for the penalty. Tasks of about CURVED rows multiply out their own and send
+    strips of the upper triangle, which are added up by strip; the driver gets one triangle, whatever n is."""
+    size = len(weights)
+
+    def products(batches):
+        total, score = np.zeros((size, size), np.float32), dots(weights[None, :-1])
+        for batch in (whole.slice(at, BLOCK) for whole in batches for at in range(0, whole.num_rows, BLOCK)):
+            row, at, x = entries(batch.column("features"))
+            p = 1 / (1 + np.exp(-np.clip(score(batch.column("features"))[0] + weights[-1], -700, 700)))
+            dense = np.zeros((len(p), size), np.float32)
+            dense[row, at], dense[:, -1] = x, 1
+            dense *= np.sqrt(p * (1 - p)).astype(np.float32)[:, None]
+            total += dense.T @ dense
+        for k in range(0, size, STRIP):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[k : k + STRIP, k:].tobytes()], pa.binary())], ["first", "strip"])
+
+    def added(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, strip in zip(batch.column("first").to_pylist(), batch.column("strip")):
+                found[k] = found.get(k, 0) + np.frombuffer(strip.as_buffer(), np.float32).astype(float)
+        for k, strip in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([strip.tobytes()], pa.binary())], ["first", "strip"])
+
+    kind = "first int, strip binary"
+    strips = rows.select("features").coalesce(-(-n // CURVED)).mapInArrow(products, kind).repartition("first").mapInArrow(added, kind)
+    total = np.zeros((size, size))
+    for k, strip in strips.collect():
+        part = np.frombuffer(strip).reshape(-1, size - k) / n
+        total[k : k + STRIP, k:], total[k:, k : k + STRIP] = part, part.T
+    return total
+
+
+def solved(matrix: np.ndarray, ridge: np.ndarray, wanted: np.ndarray, rounds: int = 2000) -> np.ndarray:
+    """x with (matrix + diagonal ridge) x = wanted, by conjugate gradients scaled by the diagonal. Sums go without
+    BLAS: its threads were seen to hang in a driver of this size."""
+    scale = 1 / (np.diag(matrix) + ridge)
+    x, left = np.zeros(len(wanted)), wanted.copy()
+    move = z = scale * left
+    size = least = float(left @ z)
+    for _ in range(rounds):
+        if size <= 1e-16 * least or size <= 0:
+            break
+        turned = np.einsum("ij,j->i", matrix, move) + ridge * move
+        step = size / float(move @ turned)
+        x, left = x + step * move, left - step * turned
+        z = scale * left
+        size, before = float(left @ z), size
+        move = z + size / before * move
+    return x
+
+
+def logistic_of_all(rows: DataFrame, penalty: float, start: np.ndarray, matrix: np.ndarray | None = None, rounds: int = 100) -> tuple[np.ndarray, np.ndarray | None]:
+    """Weights, the bias last, of the least loss_of_all(), by Newton steps from `start`, and the last curvature.
+    A curvature, at first that given, is kept while what the next step promises to gain is at most a tenth of
+    what the step before did. So the minimum takes some ten passes over the rows, where a gradient method that
+    has the rows spread takes hundreds, each a job."""
+    weights, kept, last = start, matrix is not None, np.inf
+    ridge = np.append(np.full(len(start) - 1, penalty), 1e-12)
+    n, loss, slope = loss_of_all(rows, weights, penalty)
+    for _ in range(rounds):
+        if matrix is None:
+            matrix, kept = curvature_of_all(rows, n, weights), False
+        move = -solved(matrix, ridge, slope)
+        gain = -float(slope @ move)
+        if gain < GAIN:
+            break
+        if kept and gain > last / 10:
+            matrix = None
+            continue
+        step, found = 1.0, loss_of_all(rows, weights + move, penalty)
+        while not kept and step > 1e-3 and not found[1] <= loss - 1e-4 * step * gain:
+            step /= 2
+            found = loss_of_all(rows, weights + step * move, penalty)
+        if found[1] < loss:
+            weights, loss, slope = weights + step * move, *found[1:]
+        elif not kept:  # no better by rounding
+            break
+        else:
+            matrix = None
+            continue
+        last, kept = gain if step == 1 else 0.0, True
+    return weights, matrix
+
+
+def best_penalty_of_all(stored: DataFrame, start: np.ndarray, good: int, poor: int) -> tuple[float, np.ndarray, np.ndarray | None]:
+    """best_penalty() over stored features, and where to start its fit from; the quarter is drawn by hashes of ids."""
+    if min(good, poor) < LEAST:
+        return PENALTIES[1], start, None
+    back = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    best, least, matrix = None, np.inf, None
+    for penalty in PENALTIES:
+        start, matrix = logistic_of_all(stored.where(~back), penalty, start, matrix)
+        loss = loss_of_all(stored.where(back), start, 0)[1]
+        if best is None or loss < least:
+            best, least = (penalty, start, matrix), loss
+    return best
 
 
 def best_penalty(x: np.ndarray, y: np.ndarray) -> float:
@@ -93,9 +198,9 @@ class Model:
         self.bias = float(np.log((found.good + 0.5) / (found.poor + 1.5)))
         if len(found.grams) and found.good and found.poor:
             stored = featured(found, False, found.ratio)
-            rows = as_vectors(stored).withColumn("label", F.col("good").cast("double"))
-            w, self.bias = fitted(rows, best_penalty_of_all(stored, rows, found.good, found.poor), True)
-            self.weights = w * found.ratio
+            best = best_penalty_of_all(stored, np.append(np.zeros(len(found.grams)), self.bias), found.good, found.poor)
+            *w, self.bias = logistic_of_all(stored, *best)[0].tolist()
+            self.weights = np.array(w) * found.ratio
         return self
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
