@@ -237,3 +237,25 @@ def test_curvature_of_all(spark, monkeypatch):
     matrix = toxicity.curvature_of_all(stored, n, w)
     assert np.allclose(matrix, (full * (p * (1 - p))[:, None]).T @ full / 300, atol=1e-6)
     assert np.allclose(matrix @ (s := toxicity.solved(matrix, np.full(8, 0.01), slope)) + 0.01 * s, slope, atol=1e-8)
+
+
+def test_no_curvature_reaches_the_driver(spark, monkeypatch):
+    """A fit brings sums and solutions to the driver, a few numbers for each weight, and leaves no curvature stored."""
+    from pyspark.sql import DataFrame
+
+    draw, width = np.random.default_rng(6), 60
+    x = draw.normal(size=(400, width))
+    y = draw.random(400) < 1 / (1 + np.exp(-2 * x[:, 0]))
+    stored = ngrams.written(spark.createDataFrame([(bool(g), (0, width, list(range(width)), v.tolist())) for g, v in zip(y, x)], f"good boolean, features {ngrams.VECTOR}").repartition(3), "features")
+    whole, sent = type(stored).collect, []
+
+    def collect(df):
+        rows = whole(df)
+        sent.append(max((len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray))), default=0) * len(rows))
+        return rows
+
+    monkeypatch.setattr(type(stored), "collect", collect)
+    w, matrix = toxicity.logistic_of_all(stored, 0.01, np.zeros(width + 1))
+    assert isinstance(matrix, DataFrame) and 0 < max(sent) <= 3 * 8 * (width + 3) < 8 * width**2 / 2
+    off = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - y
+    assert np.abs(x.T @ off / 400 + 0.01 * w[:-1]).max() < 1e-6 and abs(off.mean()) < 1e-6

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import is_held_out, table, with_scores
+from vellumflow.llm.common import drop_written, is_held_out, table, tables_written, with_scores, written
 from vellumflow.llm.ngrams import Densities, Examples, Sample, dots, entries, examples, featured
 
 FEATURES = 2048
@@ -65,9 +65,9 @@ def loss_of_all(rows: DataFrame, weights: np.ndarray, penalty: float) -> tuple[i
     return n, float(total[-2] / n + penalty / 2 * (w @ w)), total[:-2] / n + penalty * w
 
 
-def curvature_of_all(rows: DataFrame, n: int, weights: np.ndarray) -> np.ndarray:
-    """Second derivatives of loss_of_all() of n rows but for the penalty. Tasks of about CURVED rows multiply out their own and send
-    strips of the upper triangle, which are added up by strip; the driver gets one triangle, whatever n is."""
+def curvature_strips(rows: DataFrame, n: int, weights: np.ndarray) -> DataFrame:
+    """Second derivatives of loss_of_all() of n rows but for the penalty, as strips of the upper triangle: (first, strip), each
+    once. Tasks of about CURVED rows multiply out their own and send strips, which are added up by strip."""
     size = len(weights)
 
     def products(batches):
@@ -88,20 +88,29 @@ def curvature_of_all(rows: DataFrame, n: int, weights: np.ndarray) -> np.ndarray
             for k, strip in zip(batch.column("first").to_pylist(), batch.column("strip")):
                 found[k] = found.get(k, 0) + np.frombuffer(strip.as_buffer(), np.float32).astype(float)
         for k, strip in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([strip.tobytes()], pa.binary())], ["first", "strip"])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([(strip / n).tobytes()], pa.binary())], ["first", "strip"])
 
     kind = "first int, strip binary"
-    strips = rows.select("features").coalesce(-(-n // CURVED)).mapInArrow(products, kind).repartition("first").mapInArrow(added, kind)
+    return rows.select("features").coalesce(-(-n // CURVED)).mapInArrow(products, kind).repartition("first").mapInArrow(added, kind)
+
+
+def put_together(strips, size: int) -> np.ndarray:
+    """The symmetric matrix whose upper triangle is in strips (first, strip)."""
     total = np.zeros((size, size))
-    for k, strip in strips.collect():
-        part = np.frombuffer(strip).reshape(-1, size - k) / n
-        total[k : k + STRIP, k:], total[k:, k : k + STRIP] = part, part.T
+    for k, strip in strips:
+        part = np.frombuffer(strip).reshape(-1, size - k)
+        total[k : k + part.shape[0], k:], total[k:, k : k + part.shape[0]] = part, part.T
     return total
 
 
+def curvature_of_all(rows: DataFrame, n: int, weights: np.ndarray) -> np.ndarray:
+    """curvature_strips() as one matrix on the driver, for few weights; the fit leaves it on the executors."""
+    return put_together(curvature_strips(rows, n, weights).collect(), len(weights))
+
+
 def solved(matrix: np.ndarray, ridge: np.ndarray, wanted: np.ndarray, rounds: int = 2000) -> np.ndarray:
     """x with (matrix + diagonal ridge) x = wanted, by conjugate gradients scaled by the diagonal. Sums go without
-    BLAS: its threads were seen to hang in a driver of this size."""
+    BLAS: its threads were seen to hang in a small driver."""
     scale = 1 / (np.diag(matrix) + ridge)
     x, left = np.zeros(len(wanted)), wanted.copy()
     move = z = scale * left
@@ -118,8 +127,19 @@ def solved(matrix: np.ndarray, ridge: np.ndarray, wanted: np.ndarray, rounds: in
     return x
 
 
-def logistic_of_all(rows: DataFrame, penalty: float, start: np.ndarray, matrix: np.ndarray | None = None, rounds: int = 100) -> tuple[np.ndarray, np.ndarray | None]:
-    """Weights, the bias last, of the least loss_of_all(), by Newton steps from `start`, and the last curvature.
+def solved_of_all(strips: DataFrame, ridge: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """solved() for the matrix in stored strips, in a task of its own: its size is that of the weights squared, whatever
+    the rows, but collecting 2,049 weights' took a driver of 750 MB heap some 300 MB more. The solution alone is sent there."""
+
+    def solve(batches):
+        found = ((k, strip.as_buffer()) for batch in batches for k, strip in zip(batch.column("first").to_pylist(), batch.column("strip")))
+        yield pa.RecordBatch.from_arrays([pa.array([solved(put_together(found, len(wanted)), ridge, wanted).tobytes()], pa.binary())], ["x"])
+
+    return np.frombuffer(strips.coalesce(1).mapInArrow(solve, "x binary").collect()[0]["x"])
+
+
+def logistic_of_all(rows: DataFrame, penalty: float, start: np.ndarray, matrix: DataFrame | None = None, rounds: int = 100) -> tuple[np.ndarray, DataFrame | None]:
+    """Weights, the bias last, of the least loss_of_all(), by Newton steps from `start`, and the last curvature, stored in strips.
     A curvature, at first that given, is kept while what the next step promises to gain is at most a tenth of
     what the step before did. So the minimum takes some ten passes over the rows, where a gradient method that
     has the rows spread takes hundreds, each a job."""
@@ -128,8 +148,8 @@ def logistic_of_all(rows: DataFrame, penalty: float, start: np.ndarray, matrix:
     n, loss, slope = loss_of_all(rows, weights, penalty)
     for _ in range(rounds):
         if matrix is None:
-            matrix, kept = curvature_of_all(rows, n, weights), False
-        move = -solved(matrix, ridge, slope)
+            matrix, kept = written(curvature_strips(rows, n, weights), "curvature"), False
+        move = -solved_of_all(matrix, ridge, slope)
         gain = -float(slope @ move)
         if gain < GAIN:
             break
@@ -151,7 +171,7 @@ def logistic_of_all(rows: DataFrame, penalty: float, start: np.ndarray, matrix:
     return weights, matrix
 
 
-def best_penalty_of_all(stored: DataFrame, start: np.ndarray, good: int, poor: int) -> tuple[float, np.ndarray, np.ndarray | None]:
+def best_penalty_of_all(stored: DataFrame, start: np.ndarray, good: int, poor: int) -> tuple[float, np.ndarray, DataFrame | None]:
     """best_penalty() over stored features, and where to start its fit from; the quarter is drawn by hashes of ids."""
     if min(good, poor) < LEAST:
         return PENALTIES[1], start, None
@@ -198,9 +218,11 @@ class Model:
         self.bias = float(np.log((found.good + 0.5) / (found.poor + 1.5)))
         if len(found.grams) and found.good and found.poor:
             stored = featured(found, False, found.ratio)
+            first = tables_written()
             best = best_penalty_of_all(stored, np.append(np.zeros(len(found.grams)), self.bias), found.good, found.poor)
             *w, self.bias = logistic_of_all(stored, *best)[0].tolist()
             self.weights = np.array(w) * found.ratio
+            drop_written(stored.sparkSession, first)
         return self
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
